@@ -19,7 +19,7 @@ def radix_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     A row leaves as soon as its group has one row or its bytes have ended, so equality is decided
     by the bytes alone, without a digest. Only rows that still share all their bytes so far are
     read by a later round. A group is never gathered: a round counts (group, digit) with
-    pre-aggregation and joins the counts back, a join whose hot keys Spark splits.
+    pre-aggregation and joins the counts back, a sort-merge join at every size, whose hot keys Spark splits.
 
     Returns doc_id, keep_id (of the row that stays: most code points in the original text, then
     smallest doc_id), group_size, kept, text_sha256 (of the text without white space).
@@ -38,7 +38,7 @@ def radix_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         split = keyed.groupBy("gid", "n", "digit").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
         split = materialize(split.select("gid", "n", "digit", F.monotonically_increasing_id().alias("new")), "radix-groups")
         more = F.col("new").isNotNull() & (F.col("n") > seen + width)
-        out = keyed.join(split, ["gid", "n", "digit"], "left").select(
+        out = keyed.join(split.hint("merge"), ["gid", "n", "digit"], "left").select(
             "doc_id", "n_cp", "n", "text_sha256", F.col("new").alias("gid"), F.when(more, F.expr(f"substring(rest, {width + 1})")).alias("rest"), F.monotonically_increasing_id().alias("uid")
         )
         out = materialize(out, "radix-rows")
@@ -54,7 +54,7 @@ def radix_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     alone = ended.where("gid is null").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     shared = ended.where("gid is not null")
     best = shared.groupBy("turn", "gid").agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("n_cp", (-F.col("doc_id")).alias("neg"), (-F.col("uid")).alias("u"))).alias("best"))
-    found = shared.join(best, ["turn", "gid"]).select(
+    found = shared.join(best.hint("merge"), ["turn", "gid"]).select(
         "doc_id", (-F.col("best.neg")).alias("keep_id"), "group_size",
         (F.col("doc_id").eqNullSafe(-F.col("best.neg")) & (F.col("n_cp") == F.col("best.n_cp")) & (F.col("uid") == -F.col("best.u"))).alias("kept"), "text_sha256",
     )
