@@ -133,62 +133,50 @@ class Block:
 
 def sort_suffixes(strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Enhanced suffix array of the strings: the suffixes that share ``width`` bytes with another one in order, the common
-    prefix of each with the one before (0 if under ``width``), all symbols (byte + 1, 0 after each string), and the strings' starts."""
+    prefix of each with the one before (0 if under ``width``), all bytes, and the strings' starts in those.
+
+    Suffixes are split by eight bytes after another; one that is alone, and so shares less, takes no further part.
+    """
     size = np.fromiter(map(len, strings), np.int64, len(strings))
-    start = np.concatenate([[0], np.cumsum(size + 1)])
-    sym = np.zeros(int(start[-1]) + 4 * width + 8, np.uint16)
-    own = np.ones(int(start[-1]), bool)
-    own[start[1:] - 1] = False
-    sym[: len(own)][own] = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint16) + 1
-    key = np.zeros(len(sym), np.uint64)  # seven symbols of nine bits
-    for d in range(7):
-        key[: len(sym) - d] |= sym[d:].astype(np.uint64) << np.uint64(9 * (6 - d))
-    depth = 7
-    rank = _ranks(key)
-    while depth * 2 <= width:
-        nxt = np.zeros(len(rank), np.uint64)
-        nxt[:-depth] = rank[depth:]
-        rank = _ranks(rank.astype(np.uint64) << np.uint64(32) | nxt)
-        depth *= 2
-    left = np.repeat(start[1:] - 1, size + 1) - np.arange(start[-1])  # bytes to the string's end
-    at = np.flatnonzero(left >= width)
-    full = rank[at].astype(np.uint64) << np.uint64(32) | rank[at + width - depth]
-    shared = _shared(full)
-    at = at[shared]
-    if not len(at):
-        return at, at, sym, start
-    longest = int(left[at].max())
-    columns = [rank[np.minimum(at + d, len(rank) - 1)] for d in range(0, longest, depth)]
-    order = np.lexsort(columns[::-1])
-    sa, full = at[order], full[shared][order]
-    lcp = np.zeros(len(sa), np.int64)
+    start = np.concatenate([[0], np.cumsum(size)])
+    text = np.frombuffer(b"".join([*strings, bytes(8)]), np.uint8)
+    words = np.ndarray((len(text) - 7,), ">u8", text, strides=(1,))
+    n = np.maximum(size - width + 1, 0)
+    at = np.repeat(start[:-1], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    group = np.zeros(len(at), np.int64)
+    for d in [*range(0, width - 7, 8), width - 8]:
+        key = words[at + d].astype(np.uint64)
+        order = np.lexsort((key, group)) if d else np.argsort(key)
+        at, group, key = at[order], group[order], key[order]
+        fresh = _fresh(group, key)
+        shared = ~(fresh[1:] & fresh[:-1])
+        at, group = at[shared], np.cumsum(fresh[:-1])[shared]
+    end = start[np.searchsorted(start, at, "right")]
+    full, d, tied = group, width, len(at) > 0
+    while tied:  # the order beyond the width: seven bytes at a time, none where a string has ended
+        key = sum(np.where(at + d + k < end, text[np.minimum(at + d + k, len(text) - 1)].astype(np.int64) + 1, 0) << 9 * (6 - k) for k in range(7))
+        order = np.lexsort((key, group))
+        at, end, full, key, group = at[order], end[order], full[order], key[order], group[order]
+        fresh = _fresh(group, key)
+        tied = bool((~(fresh[1:] & fresh[:-1]) & (key & 511 > 0)).any())
+        group = np.cumsum(fresh[:-1])
+        d += 7
+    lcp = np.zeros(len(at), np.int64)
     pair = np.flatnonzero(full[1:] == full[:-1]) + 1
-    lcp[pair] = width
-    d = width
+    lcp[pair] = d = width
     while len(pair):
-        a = sym[sa[pair] + d]
-        pair = pair[(a == sym[sa[pair - 1] + d]) & (a > 0)]
+        a, b = at[pair] + d, at[pair - 1] + d
+        ok = (a < end[pair]) & (b < end[pair - 1])
+        pair, a, b = pair[ok], a[ok], b[ok]
+        pair = pair[text[a] == text[b]]
         d += 1
         lcp[pair] = d
-    return sa, lcp, sym, start
-
-
-def _ranks(key: np.ndarray) -> np.ndarray:
-    order = np.argsort(key)
-    s = key[order]
-    out = np.empty(len(key), np.uint32)
-    out[order] = np.concatenate([[0], np.cumsum(s[1:] != s[:-1])]).astype(np.uint32)
-    return out
+    return at, lcp, text, start
 
 
-def _shared(key: np.ndarray) -> np.ndarray:
-    order = np.argsort(key)
-    s = key[order]
-    same = np.zeros(len(key) + 1, bool)
-    same[1:-1] = s[1:] == s[:-1]
-    out = np.empty(len(key), bool)
-    out[order] = same[1:] | same[:-1]
-    return out
+def _fresh(group: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Where a new (group, key) begins, and a last True."""
+    return np.concatenate([[True], (group[1:] != group[:-1]) | (key[1:] != key[:-1]), [True]]) if len(key) else np.ones(1, bool)
 
 
 def maximal_repeats(sa: np.ndarray, lcp: np.ndarray, left: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -219,24 +207,22 @@ def earliest(strings: list[bytes], owner: np.ndarray, width: int) -> tuple[np.nd
 
     Returns those by passage, the strings' first passages in that, and the strings whose passages have other smallest owners than themselves.
     """
-    sa, lcp, sym, start = sort_suffixes(strings, width)
-    size = np.diff(start) - width  # passages
+    sa, lcp, text, start = sort_suffixes(strings, width)
+    size = np.diff(start) - width + 1  # passages
     first = np.concatenate([[0], np.cumsum(size)])
     best, touched = np.repeat(owner, size), set()
     if len(sa):
         string = np.searchsorted(start, sa, "right") - 1
         offset = sa - start[string]
-        left = np.where(offset > 0, sym[sa - 1].astype(np.int64), -1 - np.arange(len(sa)))
-        own = owner[string]
+        left = np.where(offset > 0, text[sa - 1].astype(np.int64), -1 - np.arange(len(sa)))
+        own, place, string = owner[string].tolist(), (first[string] + offset).tolist(), string.tolist()
         for length, lo, hi in maximal_repeats(sa, lcp, left):
-            own_here = own[lo : hi + 1]
-            least = own_here.min()
-            for k in np.flatnonzero(own_here > least).tolist():
-                s = int(string[lo + k])
-                a = int(first[s] + offset[lo + k])
-                part = best[a : a + length - width + 1]
-                np.minimum(part, least, out=part)
-                touched.add(s)
+            least = min(own[lo : hi + 1])
+            for k in range(lo, hi + 1):
+                if own[k] > least:
+                    part = best[place[k] : place[k] + length - width + 1]
+                    np.minimum(part, least, out=part)
+                    touched.add(string[k])
     return best, first, touched
 
 
@@ -334,12 +320,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     bounded_batches(spark, 8)
     buckets = buckets or wide(spark)
     blocks = materialize(_with_copies(store_blocks(docs, id_col, text_col)), "blocks-copies")
-    seen = materialize(_exchange(blocks.mapInArrow(_send_keys(width, buckets), "bucket int, block_id string, payload binary"), buckets, _seen_twice), "passages-seen")
+    n = wide(spark)  # the rows are short, but each stands for a block's work
+    seen = materialize(_exchange(blocks.repartition(n).mapInArrow(_send_keys(width, buckets), "bucket int, block_id string, payload binary"), buckets, _seen_twice), "passages-seen")
     known = blocks.join(_by_block(seen, "seen"), "block_id", "left")
-    found = _exchange(known.mapInArrow(_send_strings(width, buckets), "bucket int, block_id string, payload binary"), buckets, _smallest_owner(width))
+    found = _exchange(known.repartition(n).mapInArrow(_send_strings(width, buckets), "bucket int, block_id string, payload binary"), buckets, _smallest_owner(width))
     known = known.join(_by_block(found, "found"), "block_id", "left")
     schema = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string" + ", kept binary" * contents
-    return known.repartition(max(1, wide(spark))).mapInArrow(_cut(width, buckets, contents), schema)
+    return known.repartition(n).mapInArrow(_cut(width, buckets, contents), schema)
 
 
 def _exchange(sent: DataFrame, buckets: int, answer) -> DataFrame:
@@ -401,11 +388,11 @@ def _send_strings(width: int, buckets: int):
             if not row["seen"]:
                 continue
             b = Block(row, width, buckets)
-            bucket, payload = [], []
+            bucket, payload, owner = [], [], b.ids[b.doc].tolist()
             for k, strings, have in b.strings(b.flagged(row["seen"])):
-                docs = [b.ids[b.doc[h]] for h in have]
+                least, most = [min(map(owner.__getitem__, h)) for h in have], [max(map(owner.__getitem__, h)) for h in have]
                 bucket.append(k)
-                payload.append(_pack(np.array([len(s) for s in strings], np.uint16), np.array([d.min() for d in docs], np.int64), np.array([d.max() > d.min() for d in docs], np.uint8), b"".join(strings)))
+                payload.append(_pack(np.array([len(s) for s in strings], np.uint16), np.array(least, np.int64), (np.array(most) > np.array(least)).astype(np.uint8), b"".join(strings)))
             yield _message(bucket, [row["block_id"]] * len(bucket), payload)
 
     return run
@@ -474,6 +461,7 @@ def _cut(width: int, buckets: int, contents: bool):
                 if b.lens[i] >= width:
                     gone[i].append((0, int(b.lens[i])))
             answer = {r["bucket"]: r["reply"] for r in row["found"] or ()}
+            doc, owner, where = b.doc.tolist(), b.ids[b.doc].tolist(), (b.first - starts[b.doc]).tolist()
             for k, _, have in b.strings(b.flagged(row["seen"] or [])) if answer else ():
                 if k not in answer:
                     continue
@@ -483,10 +471,8 @@ def _cut(width: int, buckets: int, contents: bool):
                     lo = 0
                     for end, v in zip(ends[at : at + n], value[at : at + n]):
                         for r in h:
-                            d = b.doc[r]
-                            if v < b.ids[d]:
-                                s = int(b.first[r] - starts[d])
-                                gone[d].append((s + lo, s + end - 1 + width))
+                            if v < owner[r]:
+                                gone[doc[r]].append((where[r] + lo, where[r] + end - 1 + width))
                         lo = end
                     at += n
             out = {"doc_id": [], "n_bytes": [], "n_removed": [], "spans": [], "kept_sha256": [], "kept": []}
