@@ -2,34 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no shared folder, as in tests.
-FALLBACK_DIR = "/tmp/checkpoints/gleanery"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``."""
-    return spark.conf.get("spark.checkpoint.dir", None) or FALLBACK_DIR
-
-
-def scratch(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Writes ``df`` as a table in the shared folder and reads it back, which cuts its lineage.
-
-    The rows outlive lost executors, and what follows never recomputes what came before.
-    """
-    spark = df.sparkSession
-    path = scratch(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from ..plans.tables import materialize, scratch, shared_dir
 
+__all__ = ["bounded_batches", "materialize", "scratch", "shared_dir", "whole_text", "wide"]
 
 def whole_text(name: str) -> Column:
     """The text column; null counts as empty."""
