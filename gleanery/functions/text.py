@@ -10,6 +10,11 @@ LINK = r"https?://[^\s)>\]\"'`]+"
 LOCAL = r"^https?://(localhost|127\.0\.0\.1|([a-z0-9-]+\.)*example\.[a-z]+)([:/]|\z)"
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, also where a lambda within it uses it many times."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def content_hash(text: Column, n: int = 10) -> Column:
     return F.substring(F.sha2(text, 256), 1, n)
 
@@ -168,8 +173,12 @@ def diagnostics(output: Column) -> Column:
 def shingles(text: Column, width: int = 3) -> Column:
     """Distinct runs of ``width`` words over [a-z0-9:./@-]; none for fewer words."""
     words = F.split(F.trim(F.regexp_replace(F.lower(text), r"[^a-z0-9:./@-]+", " ")), " ")
-    runs = F.transform(F.sequence(F.lit(1), F.size(words) - width + 1), lambda i: F.array_join(F.slice(words, i, width), " "))
-    return F.when(F.size(words) >= width, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+
+    def runs(w: Column) -> Column:
+        every = F.transform(F.sequence(F.lit(1), F.size(w) - width + 1), lambda i: F.array_join(F.slice(w, i, width), " "))
+        return F.when(F.size(w) >= width, F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
+
+    return let(words, runs)
 
 
 def query_words(text: Column) -> Column:
@@ -178,8 +187,7 @@ def query_words(text: Column) -> Column:
 
 def overlap(words: Column, text: Column) -> Column:
     """How many of the words a text contains."""
-    low = F.lower(text)
-    return F.size(F.filter(words, lambda w: F.contains(low, w)))
+    return let(F.lower(text), lambda low: F.size(F.filter(words, lambda w: F.contains(low, w))))
 
 
 def normalize_question(text: Column) -> Column:
@@ -201,10 +209,10 @@ def rotate(items: Column, i: Column) -> Column:
 
 
 def unit(v: Column) -> Column:
-    """The vector over its length; a zero vector gives NaN, which is near nothing."""
+    """The vector over its length; a zero vector gives nulls, which are near nothing."""
     d = F.transform(v, lambda x: x.cast("double"))
     length = F.sqrt(F.aggregate(d, F.lit(0.0), lambda a, x: a + x * x))
-    return F.transform(d, lambda x: F.try_divide(x, length))
+    return let(length, lambda n: F.transform(d, lambda x: x / F.nullif(n, F.lit(0.0))))
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -44,13 +44,13 @@ def cosine_pairs(vectors: DataFrame, threshold: float, id_col: str = "id", vecto
     Exact by pivots: each vector lives with its nearest pivot, and visits every pivot that is at most twice the threshold's angle farther; by
     the triangle inequality any pair meets where one of both lives. The pivots are a bounded sample and only steer the work.
     """
-    v = materialize(vectors.select(F.col(id_col).alias("id"), T.unit(F.col(vector_col)).alias("v")), "unit-vectors")
-    heads = [r[0] for r in v.where(~F.exists("v", F.isnan)).orderBy(F.xxhash64("id"), "id").limit(pivots).select("v").collect()]
+    v = materialize(vectors.select(F.col(id_col).alias("id"), T.unit(F.col(vector_col)).alias("v")).where(~F.exists("v", F.isnull)), "unit-vectors")
+    heads = [r[0] for r in v.orderBy(F.xxhash64("id"), "id").limit(pivots).select("v").collect()]
     if not heads:
         return v.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("cosine")).limit(0)
     table = F.array(*[F.array(*[F.lit(x) for x in h]) for h in heads])
     angles = F.transform(table, lambda p: F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), T.dot(p, F.col("v"))))))
-    placed = materialize(v.where(~F.exists("v", F.isnan)).withColumn("d", angles), "pivot-angles")
+    placed = materialize(v.withColumn("d", angles), "pivot-angles")
     home = (F.array_position("d", F.array_min("d")) - 1).cast("int")
     reach = 2 * math.acos(max(-1.0, min(1.0, threshold))) + 1e-9
     placed = placed.withColumn("home", home)

@@ -68,7 +68,7 @@ def capped(cands: DataFrame, n: int, area_caps: dict[str, float] = AREA_CAPS, po
     c = cands.withColumn("_area", area).withColumn("_cap", F.coalesce(F.try_element_at(caps, F.col("_area")), F.lit(float(other_cap * n))))
     cell = Window.partitionBy("_area", "page", "difficulty").orderBy(rank)
     c = c.withColumn("_k", F.row_number().over(cell)).where(F.col("_k") <= F.least(F.ceil("_cap"), F.lit(page_cap)))
-    small = c.select("id", F.col(rank).alias("rank"), "_area", "_cap", "page", "difficulty")
+    small = c.select("id", F.col(rank).alias("rank"), "_area", "_cap", "page", "difficulty", F.lit(0).alias("_all"))
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rank")
@@ -89,7 +89,7 @@ def capped(cands: DataFrame, n: int, area_caps: dict[str, float] = AREA_CAPS, po
         return pd.DataFrame(taken, columns=["id", "pass"])
 
     kind = cands.schema["id"].dataType.simpleString()
-    took = small.groupBy(F.lit(0)).applyInPandas(fold, f"id {kind}, pass int")
+    took = small.groupBy("_all").applyInPandas(fold, f"id {kind}, pass int")
     return cands.join(took, "id")
 
 
