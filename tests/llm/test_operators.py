@@ -1,0 +1,394 @@
+"""Each operator against brute force on small frames: nulls, empty and very long texts, ties, repeated rows, clashing columns, empty tables."""
+
+import hashlib
+import random
+import zlib
+from base64 import b32encode
+
+import numpy as np
+import public_tokenizers
+import pytest
+from gleanery.llm import chunks, decontaminate, exact_dedup, golay, line_dedup, packing, preference, quality, simhash, suffix, warc
+from gleanery.llm.components import components
+from pyspark.sql import functions as F
+
+SCHEMA = "doc_id long, text string, fp long, gid long, row string, lines string, first string"
+VOCAB = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "re", "sa", "to", "vi") for b in ("n", "r", "st", "l", "m", "na", "ko")]
+
+
+def prose(rnd, n):
+    return " ".join(rnd.choice(VOCAB) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rnd = random.Random(5)
+    shared = [prose(rnd, 60) for _ in range(3)]
+    out = []
+    for i in range(60):
+        lines = [prose(rnd, rnd.randint(1, 25)) for _ in range(rnd.randint(1, 8))]
+        if i % 4 == 0:
+            lines.insert(rnd.randint(0, len(lines)), shared[i % 3] + "\n" + shared[(i + 1) % 3])
+        out.append("\n".join(lines))
+    out[7] = out[3].replace(" ", "  ")
+    out[9] = out[3]
+    out[11] = out[4].replace("ka", "Ka", 1)
+    out[12] = "une été " + out[12] + " où ça 😀"
+    out[20] = "ab" * 40_000
+    out[21] = out[20][:-2] + "xy"
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    rows = [(i * 3, t) for i, t in enumerate(texts)] + [(500, None), (501, ""), (502, " \n\t "), (None, texts[3]), (None, "quite alone"), (30, texts[10]), (30, texts[10]), (33, "the same id")]
+    return spark.createDataFrame([(i, t, 1, 2, "r", "l", "f") for i, t in rows], SCHEMA).repartition(5)
+
+
+@pytest.fixture(scope="module")
+def none(docs):
+    return docs.limit(0)
+
+
+def pairs_of(docs):
+    return [(r.doc_id, r.text or "") for r in docs.collect()]
+
+
+BIG = 1 << 60
+
+
+def test_components(spark):
+    rnd = random.Random(1)
+    edges = [(rnd.randint(-50, 400), rnd.randint(-50, 400)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1040)] + [(2000, i) for i in range(2001, 2100)] + [(7, 7)]
+    parent: dict = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        return x if parent[x] == x else find(parent[x])
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    linked = {x for a, b in edges if a != b for x in (a, b)}
+    assert got == {x: find(x) for x in linked}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_golay_keys_meet():
+    rnd = np.random.default_rng(3)
+    a = rnd.integers(0, 2**64, 400, dtype=np.uint64)
+    b = a.copy()
+    for i in range(len(b)):
+        for bit in rnd.choice(64, rnd.integers(0, 5), replace=False):
+            b[i] ^= np.uint64(1) << np.uint64(bit)
+    keys = [{} for _ in range(2)]
+    for k, fp in enumerate((a, b)):
+        for i, key in zip(*simhash.fuzzy_keys(fp)):
+            keys[k].setdefault(i, set()).add(int(key))
+    assert all(keys[0][i] & keys[1][i] for i in range(len(a)))
+    words = rnd.integers(0, 2**23, 5000)
+    code = np.array([m << 11 | golay._remainder(m << 11) for m in range(1 << 12)])
+    assert (golay.index(code) == np.arange(1 << 12)).all() and (golay.index(code ^ 0b10000000000000100000001) == np.arange(1 << 12)).all() and golay.index(words).max() < 1 << 12
+
+
+@pytest.mark.parametrize("block", [20_000, 3])
+def test_simhash(docs, none, block):
+    got = [r.asDict() for r in simhash.near_duplicates(docs, block=block).collect()]
+    rows = pairs_of(docs)
+    fps = [simhash.fingerprint(t) for _, t in rows]
+    group = list(range(len(rows)))
+
+    def find(x):
+        return x if group[x] == x else find(group[x])
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= 4:
+                group[find(i)] = find(j)
+    least: dict = {}
+    for i, (d, _) in enumerate(rows):
+        least[find(i)] = min(least.get(find(i), BIG), BIG if d is None else d)
+    key = lambda r: (r[0] is None, r)
+    want = sorted([(d, f"{fps[i]:016x}", None if least[find(i)] == BIG else least[find(i)]) for i, (d, _) in enumerate(rows)], key=str)
+    assert sorted([(r["doc_id"], r["fingerprint"], r["component_id"]) for r in got], key=str) == want
+    assert simhash.near_duplicates(none).count() == 0
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns and kept.count() == len({find(i) for i in range(len(rows))})
+    assert simhash.keep_first(none).count() == 0
+
+
+def test_fingerprint_by_hand():
+    import xxhash
+
+    text = "One two  three\nfour five two three four five ONE"
+    w = text.lower().split()
+    hs = [xxhash.xxh64_intdigest(" ".join(w[i : i + 4]).encode(), 42) for i in range(len(w) - 3)]
+    assert simhash.fingerprint(text) == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+    assert simhash.fingerprint("A b") == xxhash.xxh64_intdigest(b"a b", 42) and simhash.fingerprint(" \n") == 0
+
+
+def test_exact(docs, none):
+    rows = pairs_of(docs)
+    bare = lambda t: "".join(c for c in t if c not in " \t\n\x0b\x0c\r")
+    groups: dict = {}
+    for d, t in rows:
+        groups.setdefault(bare(t), []).append((-len(t), d is None, d))
+    got = exact_dedup.radix_groups(docs).collect()
+    want = sorted((str(d), str(min(groups[bare(t)])[2]), len(groups[bare(t)]), hashlib.sha256(bare(t).encode()).hexdigest()) for d, t in rows)
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.text_sha256) for r in got) == want
+    assert sum(r.kept for r in got) == len(groups) and all(r.doc_id == r.keep_id for r in got if r.kept)
+    assert exact_dedup.radix_groups(none).count() == 0
+
+
+@pytest.mark.parametrize("min_lines", [1, 2, 3])
+def test_lines(docs, none, min_lines):
+    rows = sorted(set(pairs_of(docs)), key=lambda r: (r[0] is None, r[0] or 0))
+    if min_lines > 1:
+        rows = [r for r in rows if r[0] is not None]
+    seen, want = set(), {}
+    for d, t in rows:
+        lines = t.split("\n")
+        own = [(i, x.strip()) for i, x in enumerate(lines) if x.strip()]
+        gone = set()
+        for s in range(len(own) - min_lines + 1):
+            k = tuple(x for _, x in own[s : s + min_lines])
+            if k in seen:
+                gone |= {i for i, _ in own[s : s + min_lines]}
+            seen.add(k)
+        want[d, t] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+    out = line_dedup.dedup_lines(docs, min_lines=min_lines)
+    got = out.select("row.*", F.col("text").alias("new"), "n_removed").collect()
+    assert len(got) == docs.count()
+    for r in got:
+        if (r.doc_id, r.text or "") in want and r.doc_id is not None and r.doc_id != 33:
+            assert r.new == want[r.doc_id, r.text or ""]
+    assert line_dedup.dedup_lines(none).count() == 0
+
+
+def brute_passages(rows, width):
+    first: dict = {}
+    for d, t in rows:
+        b = t.encode()
+        for g in {b[k : k + width] for k in range(len(b) - width + 1)}:
+            first[g] = min(first.get(g, BIG), BIG if d is None else d)
+    out = []
+    for d, t in rows:
+        b = t.encode()
+        gone = np.zeros(len(b) + 1, bool)
+        for k in range(len(b) - width + 1):
+            if first[b[k : k + width]] < (BIG if d is None else d):
+                gone[k : k + width] = True
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        out.append((str(d), len(b), len(b) - len(kept), int((gone[1:].astype(int) - gone[:-1] == 1).sum() + gone[0]), hashlib.sha256(kept).hexdigest()))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("width", [16, 50])
+def test_passages(docs, none, width):
+    got = suffix.repeated_passages(docs, width=width, buckets=7).collect()
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256) for r in got) == brute_passages(pairs_of(docs), width)
+    assert all(hashlib.sha256(bytes(r.kept)).hexdigest() == r.kept_sha256 for r in got)
+    assert suffix.repeated_passages(none).count() == 0
+
+
+def test_maximal_repeats():
+    strings = [b"xxabcdefghijklmnopqrstuvw1", b"yyabcdefghijklmnopqrstuvw2", b"zzabcdefghijklmnopqrs3", b"xxabcdefghijklmnopqrs4"]
+    sa, lcp, text, start = suffix.sort_suffixes(strings, 16)
+    left = np.array([text[i - 1] if i not in start else -1 - i for i in sa.tolist()], np.int64)
+    joined = b"".join(strings)
+    groups = {joined[sa[lo] : sa[lo] + n]: hi - lo + 1 for n, lo, hi in suffix.maximal_repeats(sa, lcp, left)}
+    assert groups == {b"abcdefghijklmnopqrs": 4, b"abcdefghijklmnopqrstuvw": 2, b"xxabcdefghijklmnopqrs": 2}
+
+
+def test_chunks(docs, none):
+    rows = pairs_of(docs)
+    places: dict = {}
+    for d, t in set(rows):
+        b, at = t.encode(), 0
+        for e in chunks.chunk_ends(b):
+            if e - at >= 32:
+                places.setdefault(b[at:e], []).append((d is None, d or 0, at, t))
+            at = e
+        assert at == len(b) and b"".join(b[a:e] for a, e in zip([0, *chunks.chunk_ends(b)], chunks.chunk_ends(b))) == b
+    first = {k: min(v)[:3] for k, v in places.items()}
+    for r in chunks.dedup_chunks(docs).collect():
+        if r.doc_id in (None, 30, 33):
+            continue
+        t = next(t for d, t in rows if d == r.doc_id)
+        b, at, kept = t.encode(), 0, []
+        for e in chunks.chunk_ends(b):
+            if e - at < 32 or first[b[at:e]] >= (False, r.doc_id, at):
+                kept.append(b[at:e])
+            at = e
+        assert r.text.encode() == b"".join(kept) and r.n_removed == len(b) - len(r.text.encode())
+    assert chunks.dedup_chunks(none).count() == 0
+
+
+def test_chunks_resist_shifts():
+    rnd = random.Random(9)
+    a = prose(rnd, 2000).encode()
+    b = a[:500] + b"an insertion" + a[500:]
+    cut = lambda x: {x[s:e] for s, e in zip([0, *chunks.chunk_ends(x)], chunks.chunk_ends(x))}
+    assert len(cut(b) - cut(a)) <= 4
+
+
+def test_warc(spark, none):
+    rnd = random.Random(4)
+    big = prose(rnd, 60_000)
+    rows = [(5, "http://a", "x"), (3, "http://b c\r\nd", "x"), (9, None, None), (2, "u", ""), (7, "u", big), (8, "v", big), (8, "v", big), (None, "n", "x"), (11, "w", "é😀")]
+    pages = spark.createDataFrame([(*r, "k") for r in rows], "page_id long, url string, html string, sha1 string").repartition(3)
+    got = warc.round_trip(pages, chunk=1000, contents=True).collect()
+    last = sorted((str(r.record_id), r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got if r["last"])
+    ids: dict = {}
+    for i, _, h in rows:
+        ids.setdefault(h or "", []).append(i)
+    want = []
+    for i, _, h in rows:
+        first = min(x for x in ids[h or ""] if x is not None)
+        b = (h or "").encode()
+        want.append((str(i), len(b), b32encode(hashlib.sha1(b).digest()).decode(), "response" if i == first else "revisit", None if i == first else str(first)))
+    assert last == sorted(want)
+    parts = sorted((r.chunk_no, bytes(r.chunk), r.bytes_so_far, r.digest_so_far) for r in got if r.record_id == "7")
+    sha, so_far = hashlib.sha1(), 0
+    for no, (k, c, n, d) in enumerate(parts):
+        sha.update(c)
+        so_far += len(c)
+        assert (k, n, d) == (no, so_far, b32encode(sha.copy().digest()).decode()) and len(c) <= 1000
+    assert b"".join(c for _, c, _, _ in parts) == big.encode()
+    assert warc.round_trip(pages.limit(0)).count() == 0
+    assert all(r.record_type == "response" for r in warc.round_trip(pages, least=10**9).where("last").collect())
+
+
+def test_quality(spark):
+    rnd = random.Random(6)
+    rows, labels = [], []
+    for i in range(600):
+        bad = i % 4 == 0
+        t = prose(rnd, rnd.randint(5, 80))
+        rows.append((i, t.upper().replace(" ", "!! ") if bad and i % 8 else " | ".join(t.split()) if bad else t.capitalize() + ".", 0.5))
+        labels.append((i, 0 if bad else 1, 0))
+    rows += [(None, None, 0.1), (601, "", 0.1)]
+    d, l = spark.createDataFrame(rows, "doc_id long, text string, score double"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in quality.classify(d, l).collect()}
+    assert all(r.held_out == (zlib.crc32(str("" if i is None else i).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.3) and 0 <= r.score <= 1 for i, r in got.items())
+    held = [i for i in range(600) if got[i].held_out]
+    assert sum(got[i].predicted == labels[i][1] for i in held) >= 0.97 * len(held)
+    assert quality.classify(d.limit(0), l).count() == 0
+    assert {r.score for r in quality.classify(d, l.limit(0)).collect()} == {0.5}
+    flipped = l.withColumn("quality", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert {r.doc_id: r.score for r in quality.classify(d, flipped).collect()} == {i: r.score for i, r in got.items()}
+
+
+def test_pairs_fold_into_tables():
+    rnd = np.random.default_rng(2)
+    x = rnd.random((4000, 3))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
+    m = quality.fit(x, y)
+    assert (0, 1) in [tuple(sorted(p)) for p in m.pairs] and ((m.score(x) > 0.5) == y).mean() > 0.9
+
+
+def test_decontaminate(spark, docs, none):
+    rnd = random.Random(8)
+    items = [(i, prose(rnd, rnd.randint(8, 40)).replace(" ", "? ", 1) if i % 3 == 0 else prose(rnd, rnd.randint(3, 90))) for i in range(40)] + [(100, None), (101, ""), (102, items_text := "solely these words make the item up for once")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(i, prose(rnd, rnd.randint(0, 400)) + " " + (items[i % 40][1].upper() if i % 2 else "") + ", " + prose(rnd, 30)) for i in range(60)] + [(77, items_text), (78, None), (79, " ".join(items_text.split()[:5])), (None, items_text)]
+    d = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, item_id long")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(d, bench).collect()}
+    corpus = decontaminate.Corpus()
+    for _, t in items:
+        if w := decontaminate.words(t or ""):
+            corpus.add(w)
+    index = decontaminate.Index([(i, t or "") for i, t in items], corpus)
+    step = max(64, index.longest)
+    want = set()
+    for i, t in rows:
+        w = decontaminate.words(t or "")
+        best: dict = {}
+        for p in range(0, len(w) + 1, step):
+            terms = {index.term[x] for x in w[p : p + 2 * step] if x in index.term}
+            score: dict = {}
+            for k in terms:
+                for o, v in zip(index.ords[k], index.impacts[k]):
+                    score[o] = score.get(o, 0) + v
+            for o, v in score.items():
+                best[o] = max(v, best.get(o, 0))
+        for o, v in best.items():
+            if v >= 0.6 - 1e-9:
+                have = {tuple(w[k : k + n]) for n in (1, 2, 3, 4, 5) for k in range(len(w) - n + 1)}
+                if all(not part or sum(s in have for s in part) / len(part) >= 0.8 for part in index.parts[o]):
+                    want.add((i, index.ids[o]))
+    assert got == want and {(77, 102), (None, 102)} <= got and len(got) >= 25
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(d, bench, size=7).collect()} == got
+    assert decontaminate.contaminated(none, bench).count() == 0 and decontaminate.contaminated(d, bench.limit(0)).count() == 0
+    bad = {i for i, _ in got}
+    assert sorted(str(r.doc_id) for r in decontaminate.clean(d, bench, size=15).collect()) == sorted(str(i) for i, _ in rows if i not in bad)
+
+
+def test_preference(spark):
+    turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "one"), (1, 2, "user", "more <|end|>"), (1, 3, "assistant", "two"), (2, 0, "user", None), (3, 0, "user", "q"), (3, 1, "assistant", "a"), (3, 2, "user", "thanks"), (4, None, None, "x")]
+    t = spark.createDataFrame([(*r, "z") for r in turns], "conv_id long, turn long, role string, text string, prompt string")
+    got = {r.pair_id: r for r in preference.format_pairs(preference.self_negatives(preference.conversations(t))).collect()}
+    assert got[1].n_prompt_turns == 3 and got[1].prompt.count("<|user|>") == 2 and got[1].chosen == "<|assistant|>\ntwo<|end|>\n" and got[1].rejected == "<|assistant|>\none<|end|>\n"
+    s = got[1].chosen_mask[0]
+    assert got[1].chosen[s.start : s.end] == "two<|end|>" and "< |end|>" in got[1].prompt
+    assert got[2].chosen == got[2].rejected == "" and got[2].chosen_mask == [] and got[3].rejected == f"<|assistant|>\n{preference.REFUSAL}<|end|>\n"
+    p = spark.createDataFrame([(1, [("user", "a")], [("user", "b"), ("assistant", "c")]), (2, None, [("user", None)])], "pair_id long, chosen array<struct<role:string,text:string>>, rejected array<struct<role:string,text:string>>")
+    out = {r.pair_id: r for r in preference.format_pairs(p).collect()}
+    assert out[1].n_prompt_turns == 0 and out[1].prompt == "" and out[1].chosen_mask == [] and len(out[1].rejected_mask) == 1 and out[2].chosen == ""
+    assert preference.format_pairs(p.limit(0)).count() == 0
+
+
+def test_packing(docs, none):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    got = packing.pack_documents(docs, path, capacity=64, keep_ids=True, groups=16).collect()
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(path)
+    tok.encode_special_tokens = True
+    want = sorted((str(d), [*tok.encode(t, add_special_tokens=False).ids, 2]) for d, t in pairs_of(docs))
+    by: dict = {}
+    for r in got:
+        assert r.length == len(r.ids) <= 64 and r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+        by.setdefault((str(r.doc_id), r.piece), []).append(r)
+    total = sum(len(x) for _, x in want)
+    assert sum(r.length for r in got) == total and all(r.length == 64 for r in got if r.piece > 0)
+    single = {d for d, _ in want if sum(d == e for e, _ in want) == 1}
+    for d, ids in want:
+        if d in single:
+            k = sorted((r.piece, r.start, r.ids) for (e, _), rs in by.items() if e == d for r in rs)
+            assert [i for _, _, x in k for i in x] == ids and [s for _, s, _ in k] == [sum(len(x) for _, _, x in k[:j]) for j in range(len(k))]
+    seqs: dict = {}
+    for r in got:
+        seqs.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for s in seqs.values():
+        at = 0
+        for o, n in sorted(s):
+            assert o == at
+            at += n
+        assert at <= 64
+    assert len(seqs) <= 1.03 * total / 64 + 2
+    assert packing.pack_documents(none, path).count() == 0
+
+
+def test_plan_places_all():
+    rnd = random.Random(3)
+    counts: dict = {}
+    for _ in range(20_000):
+        n = rnd.randint(1, 1024)
+        counts[n] = counts.get(n, 0) + 1
+    p = packing.Plan(counts)
+    fill: dict = {}
+    seen: dict = {}
+    for length, rank, n, seq, offset in p.rows:
+        assert seen.get(length, 0) == rank
+        seen[length] = rank + n
+        for k in range(n):
+            fill.setdefault(seq + k, []).append((offset, length))
+    assert seen == counts and len(fill) == p.sequences <= 1.01 * sum(k * v for k, v in counts.items()) / 1024 + 1
+    for s in fill.values():
+        at = 0
+        for o, n in sorted(s):
+            assert o == at
+            at += n
+        assert at <= 1024

@@ -1,0 +1,44 @@
+"""The registered queries: those with SQL against it, the pipeline stage by stage."""
+
+import corpus_pipeline
+import duckdb
+import pytest
+from gleanery.llm import decontaminate, line_dedup, queries, simhash
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", list(queries.SQL))
+def test_sql(spark, name):
+    con = duckdb.connect()
+    for t in "documents pages benchmark labels conversations".split():
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    got, want = queries.QUERIES[name](spark, SF).toPandas(), con.sql(queries.SQL[name]).df()
+    rows = lambda d: sorted(map(str, d[sorted(d.columns)].itertuples(index=False, name=None)))
+    assert sorted(got.columns) == sorted(want.columns) and rows(got) == rows(want)
+
+
+def test_pipeline(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    ids = lambda d: {r.doc_id for r in d.select("doc_id").collect()}
+    seen = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = corpus_pipeline.materialize(stage(spark, docs, SF), name)
+        assert out.schema == docs.schema and ids(out) <= ids(docs)
+        seen.append((name, docs, out))
+        docs = out
+    labels = {r.doc_id: r for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    gone = ids(seen[0][1]) - ids(seen[0][2])
+    assert all(labels[i].quality == 0 for i in gone if i in labels) and gone
+    before, after = seen[1][1:]
+    cut = {r.doc_id: r.text for r in line_dedup.dedup_lines(before).select("doc_id", "text").collect()}
+    assert all(r.text == cut[r.doc_id] and r.n_chars == len(r.text) for r in after.collect())
+    assert {i for i, t in cut.items() if t.strip(" \t\n\x0b\x0c\r")} == ids(after)
+    parts = {r.doc_id: r.component_id for r in simhash.near_duplicates(seen[2][1]).collect()}
+    assert ids(seen[2][2]) == {i for i, c in parts.items() if i == c}
+    bad = {r.doc_id for r in decontaminate.contaminated(seen[3][1], spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
+    assert ids(seen[3][2]) == ids(seen[3][1]) - bad
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert ids(packed) == ids(docs)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF).count() == 0
