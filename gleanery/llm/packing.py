@@ -98,7 +98,7 @@ class Plan:
     ranks that follow. Everything is counted by length, so the plan's size depends on the capacity alone.
     """
 
-    def __init__(self, counts: dict[int, int], capacity: int = 1024, groups: int = 256, small: int = 128):
+    def __init__(self, counts: dict[int, int], capacity: int = 1024, groups: int = 1024, small: int = 128):
         self.capacity, self.rows, self.sequences = capacity, [], 0
         self._taken: dict[int, int] = {}
         self._room: dict[int, list[tuple[int, int]]] = {}  # room -> runs (first sequence, sequences)
@@ -244,7 +244,7 @@ class Plan:
                     rooms.insert(bisect_left(rooms, room), room)
 
 
-def pack(pieces: DataFrame, capacity: int = 1024, groups: int = 256, small: int = 128, salts: int | None = None) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 1024, groups: int = 1024, small: int = 128, salts: int | None = None) -> DataFrame:
     """Pieces (doc_id, piece, start, length, ...) -> the same rows with sequence_id and offset.
 
     The driver sees one count per length, ``capacity`` numbers at most, and sends back a plan whose size
@@ -278,7 +278,7 @@ def pack(pieces: DataFrame, capacity: int = 1024, groups: int = 256, small: int
     return ranked.mapInArrow(place, f"{kinds}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, groups: int = 256) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, groups: int = 1024) -> DataFrame:
     """Packs all documents into as few sequences of at most ``capacity`` tokens as it can.
 
     One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids if asked for).
