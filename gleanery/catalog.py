@@ -61,12 +61,12 @@ def labeled_docs_semi(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH e AS (SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1)
-SELECT d.doc_id, coalesce(l.quality, -1) AS quality, coalesce(l.toxic, -1) AS toxic, e.event_id, coalesce(e.event_type, 'none') AS event_type
+SELECT d.doc_id, coalesce(l.quality, -1) AS quality, coalesce(l.toxic, -1) AS toxic, coalesce(e.event_id, -1) AS event_id, coalesce(e.event_type, 'none') AS event_type
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id LEFT JOIN e ON e.user_id = d.doc_id""")
 def latest_state_multijoin(spark: SparkSession, d: str) -> DataFrame:
     last = state.latest_by(read(spark, d, "events").select("user_id", "event_id", "event_type"), "user_id", "event_id").withColumnRenamed("user_id", "doc_id").drop("first_seq")
     x = read(spark, d, "documents").select("doc_id").join(read(spark, d, "labels"), "doc_id", "left").join(last, "doc_id", "left")
-    return x.select("doc_id", F.coalesce("quality", F.lit(-1)).alias("quality"), F.coalesce("toxic", F.lit(-1)).alias("toxic"), "event_id", F.coalesce("event_type", F.lit("none")).alias("event_type"))
+    return x.select("doc_id", F.coalesce("quality", F.lit(-1)).alias("quality"), F.coalesce("toxic", F.lit(-1)).alias("toxic"), F.coalesce("event_id", F.lit(-1).cast("long")).alias("event_id"), F.coalesce("event_type", F.lit("none")).alias("event_type"))
 
 
 @query("""SELECT k.doc_id, l.doc_id IS NOT NULL AS labelled, d.doc_id IS NOT NULL AS present

@@ -2,25 +2,64 @@
 
 from __future__ import annotations
 
+from bisect import insort
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import text as T
 
+MOST_QUERIES = 20_000
+
 
 def top_overlap(queries: DataFrame, corpus: DataFrame, k: int, query_id: str = "query_id", query_text: str = "query_text", key: str = "key", content: str = "content") -> DataFrame:
     """For each query the ``k`` texts that contain most of its words, ties by key: (query_id, key, hits, rank), texts without any aside.
 
-    The queries are a bounded table, checked and sent to all tasks, so the texts are read once and never shuffled; each task's best ``k`` per query meet.
+    The queries are a bounded table, checked and sent to all tasks, so the texts are read once and never shuffled. One automaton finds the words
+    of all queries in a pass over a text; each task sends on its own best ``k`` per query, among which those of all tasks are.
     """
-    if queries.count() > 20_000:
-        raise ValueError("more than 20,000 queries: ask in blocks, as every text meets every query")
-    q = queries.select(F.col(query_id).alias("query_id"), T.query_words(F.col(query_text)).alias("_w"))
-    hits = T.overlap(F.col("_w"), F.col(content))
-    scored = corpus.select(F.col(key).alias("key"), F.col(content)).join(F.broadcast(q)).select("query_id", "key", hits.alias("hits")).where("hits > 0")
-    order = [F.desc("hits"), F.col("key")]
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*order))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= k)
+    if queries.count() > MOST_QUERIES:
+        raise ValueError(f"more than {MOST_QUERIES} queries: ask in blocks, as each task holds the best texts of all")
+    asked = queries.select(F.col(query_id), T.query_words(F.col(query_text))).collect()
+    ids = [r[0] for r in asked]
+    of_word: dict[str, list[int]] = {}
+    for i, r in enumerate(asked):
+        for w in r[1] or ():
+            of_word.setdefault(w, []).append(i)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        automaton, words = ahocorasick.Automaton(), list(of_word.values())
+        for n, w in enumerate(of_word):
+            automaton.add_word(w, n)
+        if words:
+            automaton.make_automaton()
+        best: list[list[tuple]] = [[] for _ in ids]
+        for b in batches if words else ():
+            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
+                hits: dict[int, int] = {}
+                for n in {n for _, n in automaton.iter(text.as_py())}:
+                    for i in words[n]:
+                        hits[i] = hits.get(i, 0) + 1
+                for i, h in hits.items():
+                    own = best[i]
+                    if len(own) < k or (-h, doc) < own[-1]:
+                        insort(own, (-h, doc))
+                        del own[k:]
+        rows = [(i, doc, -h) for i, own in enumerate(best) for h, doc in own]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], keys), pa.array([r[2] for r in rows], pa.int32())], names=["i", "key", "hits"])
+
+    kind = corpus.schema[key].dataType
+    keys = to_arrow_type(kind)
+    low = corpus.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.lower(F.coalesce(F.col(content), F.lit(""))).alias("low"))
+    found = low.mapInArrow(run, f"i int, key {kind.simpleString()}, hits int")
+    names = queries.sparkSession.createDataFrame(list(enumerate(ids)), f"i int, query_id {queries.schema[query_id].dataType.simpleString()}")
+    rank = F.row_number().over(Window.partitionBy("i").orderBy(F.desc("hits"), "key"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).join(F.broadcast(names), "i").select("query_id", "key", "hits", "rank")
 
 
 def first_fit(items: Column, size, budget: int) -> Column:
