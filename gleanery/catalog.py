@@ -248,8 +248,7 @@ c AS (SELECT x.rep AS a, y.rep AS b, x.n AS na, y.n AS nb, count(*) AS k FROM e
 SELECT a, b, round(k / CAST(na + nb - k AS DOUBLE), 6) AS jaccard FROM c WHERE k / CAST(na + nb - k AS DOUBLE) > CAST(0.7 AS DOUBLE)""")
 def shingle_jaccard_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of class representatives; ``shingle_membership`` tells which documents each stands for."""
-    classes = dedup.shingle_classes(read(spark, d, "documents"), "doc_id", "text")
-    return dedup.jaccard_pairs(classes.select("rep", "shingles").distinct()).select("a", "b", F.round("jaccard", 6).alias("jaccard"))
+    return dedup.jaccard_pairs(dedup.shingle_sets(read(spark, d, "documents"), "doc_id", "text")).select("a", "b", F.round("jaccard", 6).alias("jaccard"))
 
 
 @query(f"WITH s AS (SELECT doc_id, {_SHINGLES} AS sh FROM (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents)) SELECT doc_id, min(doc_id) OVER (PARTITION BY sh) AS rep, CAST(len(sh) AS BIGINT) AS n_shingles FROM s")

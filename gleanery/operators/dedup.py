@@ -18,6 +18,12 @@ def shingle_classes(rows: DataFrame, id_col: str, text_col: str, width: int = 3)
     return s.join(reps, "shingles").select("id", "rep", "shingles")
 
 
+def shingle_sets(rows: DataFrame, id_col: str, text_col: str, width: int = 3) -> DataFrame:
+    """(rep, shingles): the distinct shingle sets, each with the smallest id that has it."""
+    s = rows.select(F.col(id_col).alias("id"), F.array_sort(T.shingles(F.col(text_col), width)).alias("shingles"))
+    return s.groupBy("shingles").agg(F.min("id").alias("rep")).select("rep", "shingles")
+
+
 def jaccard_pairs(sets: DataFrame, threshold: float = 0.7, least: int = 4) -> DataFrame:
     """(a, b, jaccard), a < b, of distinct sets (rep, shingles) with ``least`` shingles or more and a similarity above the threshold.
 
