@@ -345,7 +345,6 @@ def test_packing(docs, none):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     want = sorted((str(d), [*tok.encode(t, add_special_tokens=False).ids, 2]) for d, t in pairs_of(docs))
     by: dict = {}
     for r in got:
@@ -371,6 +370,19 @@ def test_packing(docs, none):
     assert packing.pack_documents(none, path).count() == 0
 
 
+def test_ids_are_those_of_the_library():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    from tokenizers import Tokenizer
+
+    tok, rnd = Tokenizer.from_file(path), random.Random(8)
+    odd = [chr(c) for c in (0x20, 0x20, 0x0A, 0x0B, 0x1C, 0x85, 0xA0, 0x200B, 0x2028, 0x3000, 0xE9, 0x301, 0x4E2D, 0x1F600, 0x27, 0x73, 0x31, 0xBD, 0x41, 0x62)]
+    texts = ["", "<|endoftext|>", "a <|endoftext|> b", "<|endoftext|><|endoftext|>", " <|endoftext|>\n\n x", "<|endoftext", prose(rnd, 50) + "<|endoftext|>" + prose(rnd, 50)]
+    texts += ["".join(rnd.choice(odd) for _ in range(rnd.randint(1, 30))) for _ in range(2000)]
+    texts += ["".join(rnd.choice("etaoinshrdlu ") for _ in range(rnd.randint(1, 60))) for _ in range(2000)]
+    for t, ids in zip(texts, packing.encoder(path)(texts), strict=True):
+        assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
 def test_plan_places_all():
     rnd = random.Random(3)
     counts: dict = {}
