@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
-from .operators import checks, code, dedup, planning, refine, retrieval, review, selection, state, validate
+from .operators import checks, code, dedup, planning, refine, release, retrieval, review, selection, state, validate
 from .plans.tables import materialize, scratch
+from .sources import tools
 from .streaming import streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -454,6 +455,58 @@ def code_roll_up(spark: SparkSession, d: str) -> DataFrame:
 found_type = "array<struct<code:int,line:int,msg:string>>"
 
 
+@query("""SELECT d.doc_id, d.source AS model, CAST(row_number() OVER (PARTITION BY d.source ORDER BY d.doc_id) - 1 AS BIGINT) // 8 AS batch, CASE WHEN d.source LIKE 'w%' THEN 1 ELSE 0 END AS turn FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) AND d.lang = 'en' AND length(d.text) >= 60 AND NOT contains(d.text, '|')""")
+def judge_work_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Unlabelled English documents that pass length and table-mark checks, in batches within their source."""
+    docs = read(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang", F.col("source").alias("model"), "text")
+    failed = lambda bad, label: F.when(bad, F.array(F.lit(label))).otherwise(F.array().cast("array<string>")).alias("hard")
+    checked, compiled = docs.select("id", failed(F.length("text") < 60, "too-short")), docs.select("id", failed(F.contains("text", F.lit("|")), "ts1"))
+    judged, kept = read(spark, d, "labels").select(F.col("doc_id").alias("id")), docs.where("lang = 'en'")
+    out = release.judge_batches(release.judge_work(docs.drop("text"), judged, kept, checked, compiled), 8, local="w")
+    return out.select(F.col("id").alias("doc_id"), "model", *big("batch", "turn"))
+
+
+@query("""SELECT CAST(row_number() OVER (ORDER BY doc_id) AS BIGINT) AS k, doc_id FROM (SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) ORDER BY doc_id DESC LIMIT 150)""")
+def review_dump(spark: SparkSession, d: str) -> DataFrame:
+    """The last 150 documents without a label, numbered for people to decide on."""
+    docs = read(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("doc_id").alias("seq"))
+    out = release.dump(docs, read(spark, d, "labels").select(F.col("doc_id").alias("id")), 150)
+    return out.select(*big("k"), F.col("id").alias("doc_id"))
+
+
+@query("""WITH t AS (SELECT d.*, l.quality, l.toxic FROM documents d JOIN labels l ON l.doc_id = d.doc_id)
+SELECT 'lang' AS key, lang AS value, count(*) AS n FROM t GROUP BY ALL UNION ALL SELECT 'source', source, count(*) FROM t GROUP BY ALL UNION ALL SELECT 'quality', CAST(quality AS VARCHAR), count(*) FROM t GROUP BY ALL
+UNION ALL SELECT 'examples', '', count(*) FROM t UNION ALL SELECT 'words', '', CAST(sum(len(list_filter(regexp_split_to_array(text, '[ \t-\r]+'), lambda w: w <> ''))) AS BIGINT) FROM t""")
+def release_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """Counts and distributions of the labelled documents, as they would be published."""
+    t = read(spark, d, "documents").join(read(spark, d, "labels"), "doc_id")
+    taken = t.select(F.col("doc_id").alias("id"), F.lit("").alias("question"), F.col("text").alias("answer"), F.col("lang").alias("area"), F.lit("x").alias("difficulty"), F.col("source").alias("type"), F.lit("j").alias("judge"), F.col("quality").cast("string").alias("verdict"))
+    m = materialize(release.metadata(taken), "metadata")
+    parts = [m.select(F.lit(name).alias("key"), F.explode(c).alias("value", "n")) for name, c in (("lang", "area"), ("source", "type"), ("quality", "verdict"))]
+    out = m.select(F.explode(F.array(*[F.struct(F.lit(c).alias("key"), F.lit("").alias("value"), F.col(c).alias("n")) for c in ("examples", "words")])).alias("x")).select("x.*")
+    for p in parts:
+        out = out.unionByName(p)
+    return out
+
+
+@query("""SELECT page_id, CAST(r AS INT) AS rank, 'https://x.org/' || page_id || CASE WHEN r = 0 THEN '/' ELSE '/more/' END AS url, 'https://x.org/' || page_id || CASE WHEN r = 0 THEN '' ELSE '/more/#top' END AS anchor FROM pages, (SELECT unnest([0, 1]) AS r)""")
+def tool_search_hits(spark: SparkSession, d: str) -> DataFrame:
+    """A search call per page through a stub transport that answers as server-sent events, and its hits."""
+    calls = read(spark, d, "pages").select("page_id", F.lit("search").alias("tool"), F.to_json(F.struct(F.col("page_id").cast("string").alias("query"))).alias("arguments"))
+    replies = tools.call_tools(calls, _stub_transport)
+    hits = tools.search_hits(calls.join(replies, ["tool", "arguments"]), ["page_id"])
+    return hits.select("page_id", "rank", "url", "anchor")
+
+
+def _stub_transport(tool: str, arguments: str) -> str:
+    import json
+
+    base = f"https://x.org/{json.loads(arguments)['query']}"
+    hits = {"search_results": [{"source_url": u, "title": "t", "content": "c"} for u in (base, f"{base}/more/#top")]}
+    return "event: message\ndata: " + json.dumps({"result": {"content": [{"text": json.dumps(hits)}]}}) + "\n"
+
+
 # Streams
 
 
@@ -494,6 +547,15 @@ def _complete(counts: DataFrame, table: str, checkpoint: str) -> None:
     q.awaitTermination()
 
 
+@query("""WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM e)
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_start, count(*) AS n FROM s GROUP BY user_id, k""")
+def session_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions of each user: events that follow each other within half an hour."""
+    out = streams.sessions(read(spark, d, "events").select("ts", "user_id"), "ts", ["user_id"], "30 minutes")
+    return out.select("user_id", F.date_format("session_start", "yyyy-MM-dd HH:mm:ss").alias("session_start"), "n")
+
+
 @query("SELECT min(event_id) AS event_id, user_id, event_type FROM events GROUP BY user_id, event_type")
 def first_seen_pairs(spark: SparkSession, d: str) -> DataFrame:
     """The first event of each user and type."""

@@ -58,21 +58,26 @@ def topic_quota(total: Column, topics: Column, extra: int = 0) -> Column:
 def numbered(df: DataFrame, order: list, by: list[str] | None = None, name: str = "n") -> DataFrame:
     """Numbers rows from 0 in order, within groups if ``by`` is given.
 
-    Over the whole table each range-partitioned part counts its own rows and adds those of the parts before, so no
-    single task sorts everything.
+    Each range-partitioned part counts its own rows and adds those of the parts before, so no single task sorts
+    everything, nor a whole group, however large.
     """
-    if by:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1)
+    by = by or []
     cols = df.columns
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
     at = ranged.withColumn("_m", F.monotonically_increasing_id())
     at = at.withColumn("_p", F.shiftright("_m", 33)).withColumn("_i", F.col("_m").bitwiseAND((1 << 33) - 1))
     from ..plans.tables import materialize
 
     at = materialize(at, "numbered")
-    sizes = at.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
-    before = sizes.select("_p", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
-    return at.join(F.broadcast(before), "_p").select(*cols, (F.col("_b") + F.col("_i")).alias(name))  # one row per part
+    groups = [F.col(c).alias(f"_g{i}") for i, c in enumerate(by)]
+    sizes = at.groupBy(F.col("_p").alias("_q"), *groups).agg(F.count(F.lit(1)).alias("_c"), F.min("_i").alias("_f"))
+    over = Window.partitionBy(*[f"_g{i}" for i in range(len(by))]).orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_q", *[f"_g{i}" for i in range(len(by))], "_f", F.coalesce(F.sum("_c").over(over), F.lit(0)).alias("_b"))
+    same = F.col("_p") == F.col("_q")
+    for i, c in enumerate(by):
+        same &= F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    # one row per part without groups; with them their number isn't bounded
+    return at.join(before if by else F.broadcast(before), same).select(*cols, (F.col("_b") + F.col("_i") - F.col("_f")).alias(name))
 
 
 def batches(df: DataFrame, size: int, order: list, by: list[str] | None = None) -> DataFrame:

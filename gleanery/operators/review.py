@@ -62,7 +62,7 @@ def section_answers(batched: DataFrame, replies: DataFrame, keys: list[str], tag
 
 
 def apply_decisions(dumped: DataFrame, decisions: DataFrame, reviewer: str = "manual") -> DataFrame:
-    """Review rows for dumped questions (k, id, question) from decisions (k, action, rest): d drops, i improves the wording, others keep."""
-    last = decisions.groupBy("k").agg(F.max_by(F.struct("action", "rest"), F.monotonically_increasing_id()).alias("d")) if "seq" not in decisions.columns else decisions.groupBy("k").agg(F.max_by(F.struct("action", "rest"), "seq").alias("d"))
+    """Review rows for dumped questions (k, id, question) from decisions (k, action, rest, seq), the last of each k: d drops, i improves the wording, others keep."""
+    last = decisions.groupBy("k").agg(F.max_by(F.struct("action", "rest"), "seq").alias("d"))
     x = dumped.join(last, "k", "left")
     return x.select("id", F.coalesce(F.col("d.action") != "d", F.lit(True)).alias("keep"), F.when(F.col("d.action") == "d", F.left("d.rest", F.lit(120))).otherwise(F.lit("")).alias("reason"), F.when(F.col("d.action") == "i", improved(F.col("d.rest"), F.col("question"))).alias("question"), F.lit(reviewer).alias("reviewer"))

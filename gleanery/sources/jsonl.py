@@ -64,7 +64,7 @@ def write_lines(df: DataFrame, columns: list[str], path: str) -> None:
 
 
 def read_decisions(spark: SparkSession, path: str) -> DataFrame:
-    """Decision lines as (k, action, rest); malformed lines are left out."""
+    """Decision lines as (k, action, rest, seq), seq rising with the lines of a file; malformed lines are left out."""
     from ..functions.text import decision
 
-    return spark.read.text(path).select(decision(F.col("value")).alias("d")).select("d.*").where("k is not null")
+    return spark.read.text(path).select(decision(F.col("value")).alias("d"), F.monotonically_increasing_id().alias("seq")).select("d.*", "seq").where("k is not null")

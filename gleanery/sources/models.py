@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import subprocess
 import time
+import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from typing import Protocol
@@ -29,6 +32,54 @@ class StubModel:
         return [self.reply(p) for p in prompts]
 
 
+@dataclass
+class CommandModel:
+    """A model behind a command: the prompt goes to its standard input, its standard output is the reply."""
+
+    name: str
+    command: list[str]
+    timeout: float = 180.0
+
+    def generate(self, prompts: list[str]) -> list[str]:
+        return [subprocess.run(self.command, input=p, capture_output=True, text=True, timeout=self.timeout, check=True).stdout.strip() for p in prompts]
+
+
+def _post(url: str, body: dict, timeout: float) -> dict:
+    with urllib.request.urlopen(urllib.request.Request(url, json.dumps(body).encode(), {"Content-Type": "application/json"}), timeout=timeout) as r:
+        return json.load(r)
+
+
+@dataclass
+class ChatModel:
+    """A model behind a chat-completions endpoint, asked again after failures; the seed makes replies repeatable where the server honours it."""
+
+    name: str
+    url: str
+    temperature: float = 0.7
+    max_tokens: int = 4096
+    seed: int | None = None
+    json_reply: bool = False
+    timeout: float = 900.0
+    tries: int = 4
+    wait: float = 2.0
+    post: Callable[[str, dict, float], dict] = _post
+    sleep: Callable[[float], None] = time.sleep
+
+    def generate(self, prompts: list[str]) -> list[str]:
+        return [retry(lambda: self._ask(p), self.tries, self.wait, self.sleep) for p in prompts]
+
+    def _ask(self, prompt: str) -> str:
+        body: dict = {"model": self.name, "messages": [{"role": "user", "content": prompt}], "temperature": self.temperature, "max_tokens": self.max_tokens}
+        if self.seed is not None:
+            body["seed"] = self.seed
+        if self.json_reply:
+            body["response_format"] = {"type": "json_object"}
+        reply = self.post(self.url, body, self.timeout)["choices"][0]["message"]["content"]
+        if not reply:
+            raise ValueError("an empty reply")
+        return reply
+
+
 def retry(call: Callable[[], object], tries: int = 4, first: float = 1.0, sleep: Callable[[float], None] = time.sleep):
     """Calls again after 1, 2, 4... times ``first`` seconds; the last error goes up."""
     for k in range(tries):

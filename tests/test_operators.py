@@ -3,9 +3,10 @@
 import json
 
 from gleanery.functions import text as T
-from gleanery.operators import checks, dedup, planning, refine, retrieval, review, selection, state, validate
+from gleanery.operators import checks, dedup, planning, refine, release, retrieval, review, selection, state, validate
+from gleanery.plans.progress import Progress
 from gleanery.plans.stages import Plan
-from gleanery.sources import jsonl, models
+from gleanery.sources import jsonl, models, tools
 from pyspark.sql import functions as F
 
 
@@ -180,3 +181,91 @@ def test_plan():
     for n, always in (("a", False), ("b", False), ("c", True)):
         p.stage(n, always)(lambda s, n=n: ran.append(n))
     assert p.run({}, "b") == ["b", "c"] == ran
+
+
+def test_numbered_within_groups(spark):
+    rows = [(i, None if i % 5 == 0 else "big" if i % 5 < 4 else "small") for i in range(400)]
+    got = planning.numbered(spark.createDataFrame(rows, "id long, g string").repartition(7), [F.col("id").desc()], ["g"]).collect()
+    by: dict = {}
+    for r in sorted(got, key=lambda r: -r.id):
+        assert r.n == by.get(r.g, 0)
+        by[r.g] = r.n + 1
+    assert sum(by.values()) == 400 and planning.numbered(spark.createDataFrame([], "id long, g string"), [F.col("id")], ["g"]).count() == 0
+
+
+def test_decisions(spark, tmp_path):
+    (tmp_path / "d.txt").write_text("1 d vague\nnonsense\n2 i a wording that is long enough\n1 k\n9 d none\n")
+    dumped = spark.createDataFrame([(1, "a", "q1"), (2, "b", "q2"), (3, "c", "q3")], "k int, id string, question string")
+    out = {r.id: (r["keep"], r.question) for r in review.apply_decisions(dumped, jsonl.read_decisions(spark, str(tmp_path / "d.txt"))).collect()}
+    assert out == {"a": (True, None), "b": (True, "a wording that is long enough"), "c": (True, None)}
+
+
+def test_tools(spark, tmp_path):
+    folder, cache = str(tmp_path / "asked"), str(tmp_path / "cache")
+    (tmp_path / "asked").mkdir()
+
+    def transport(tool, arguments):
+        import os
+        import uuid
+
+        open(os.path.join(folder, uuid.uuid4().hex), "w").close()
+        if tool == "bad":
+            return json.dumps({"error": {"message": "no such tool"}})
+        return "event: x\ndata: " + json.dumps({"result": {"content": [{"text": arguments}, {}]}})
+
+    calls = spark.createDataFrame([("t", '{"a":1}'), ("t", '{"a":1}'), ("bad", "{}")], "tool string, arguments string")
+    asked = lambda: len(list((tmp_path / "asked").iterdir()))
+    for _ in range(2):
+        got = {r.tool: r for r in tools.call_tools(calls, transport, cache, tries=2, sleep=lambda s: None).collect()}
+        assert len(got) == 2 and got["t"].text == '{"a":1}\n' and got["t"].error is None and got["bad"].error == "RuntimeError: no such tool" and got["bad"].text is None
+    assert asked() == 1 + 2 + 2
+    hits = spark.createDataFrame([(1, json.dumps({"search_results": [{"source_url": "https://a.b/c#d", "title": "t", "content": "x"}]})), (2, "no json"), (3, None)], "q int, text string")
+    assert [tuple(r) for r in tools.search_hits(hits, ["q"]).collect()] == [(1, 0, "https://a.b/c/", "https://a.b/c#d", "t", "x")]
+    listing = spark.createDataFrame([("- **[One](https://s.org/spec/net/one/)** — stable, net\n- **[Two](https://s.org/spec/net/two/)** — draft",)], "text string")
+    docs = spark.createDataFrame([("one", "---\ntitle: 'First'\n---\nx"), ("two", "y")], "slug string, content string")
+    assert sorted((r.slug, r.title, r.status) for r in tools.topic_rows(tools.topics(listing), docs).collect()) == [("one", "First", "stable"), ("two", "two", "draft")]
+    assert tools.require_major("7.1.0", 7) == "7.1.0"
+
+
+def test_model_adapters():
+    import pytest
+
+    assert models.CommandModel("cat", ["cat"]).generate(["a\n", "b"]) == ["a", "b"]
+    seen, waits = [], []
+
+    def post(url, body, timeout):
+        seen.append(body)
+        if len(seen) == 1:
+            raise OSError("down")
+        return {"choices": [{"message": {"content": "ok"}}]}
+
+    assert models.ChatModel("m", "u", seed=3, json_reply=True, post=post, sleep=waits.append).generate(["p"]) == ["ok"]
+    assert waits == [2.0] and seen[1]["seed"] == 3 and seen[1]["response_format"] == {"type": "json_object"}
+    with pytest.raises(ValueError):
+        models.ChatModel("m", "u", post=lambda *a: {"choices": [{"message": {"content": ""}}]}, sleep=waits.append).generate(["p"])
+
+
+def test_release(spark, tmp_path):
+    cols = "id string, question string, answer string, sources array<string>, area string, focus string, type string, difficulty string, source_key string, judge string, verdict string"
+    rows = [("b", "q two", "a b c", ["u"], "spec:x", "f", "how-to", "expert", "k", "j1", "pass"), ("a", "q", "a", [], "spec:y", "f", "how-to", "expert", "k", "j2", "fix"), ("c", "q", "a", [], "Basics", "f", "concept", "expert", "k", None, "pass")]
+    taken = spark.createDataFrame(rows, cols)
+    hard = spark.createDataFrame([("a", []), ("b", ["x"])], "id string, hard array<string>")
+    meta = {r.id: r.verified for r in release.meta_rows(taken, hard, hard.where("id = 'b'"), spark.createDataFrame([("c",)], "id string"), "1").collect()}
+    assert [(meta[i].deterministic_checks, meta[i].code_check, meta[i].manual) for i in "abc"] == [(True, True, False), (False, False, False), (False, True, True)]
+    m = release.metadata(taken).first()
+    assert (m.examples, m.words, m.tokens) == (3, 9, 13) and m.area == {"spec": 2, "Basics": 1} and m.judge == {"j1": 1, "j2": 1} and m.difficulty == {"expert": 3}
+    assert [r.id for r in release.final_order(taken).collect()] == ["c", "b", "a"]
+    release.write_release(taken, spark.createDataFrame([("a",)], "id string"), str(tmp_path))
+    assert jsonl.read_jsonl(spark, str(tmp_path / "dataset"), "id string, messages array<struct<role:string,content:string>>").count() == 3
+    e = release.metadata(taken.limit(0)).first()
+    assert (e.examples, e.words) == (0, 0)
+    assert spark.range(1).select(release.judge_for(F.lit("x"), ["x", "y"]), release.judge_for(F.lit("x"), ["x"])).first()[:] == ("y", None)
+    d = release.dump(taken.withColumn("seq", F.ascii("id")), hard.where("id = 'a'"), 5)
+    assert [r.value for r in release.dump_lines(d).collect()] == ["1|how-to|e|q two", "2|concept|e|q"]
+
+
+def test_progress(spark):
+    clock = iter([0.0, 120.0])
+    p = Progress("x", 40, clock=lambda: next(clock))
+    p.watch(spark.range(10), total=F.col("id")).write.format("noop").mode("overwrite").save()
+    assert p.counts() == {"rows": 10, "total": 45} and p.line() == "[x] 10/40  eta 6m  2.0m elapsed"
