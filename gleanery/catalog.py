@@ -455,7 +455,7 @@ def code_roll_up(spark: SparkSession, d: str) -> DataFrame:
 found_type = "array<struct<code:int,line:int,msg:string>>"
 
 
-@query("""SELECT d.doc_id, d.source AS model, CAST(row_number() OVER (PARTITION BY d.source ORDER BY d.doc_id) - 1 AS BIGINT) // 8 AS batch, CASE WHEN d.source LIKE 'w%' THEN 1 ELSE 0 END AS turn FROM documents d
+@query("""SELECT d.doc_id, d.source AS model, CAST(row_number() OVER (PARTITION BY d.source ORDER BY d.doc_id) - 1 AS BIGINT) // 8 AS batch, CAST(CASE WHEN d.source LIKE 'w%' THEN 1 ELSE 0 END AS BIGINT) AS turn FROM documents d
 WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) AND d.lang = 'en' AND length(d.text) >= 60 AND NOT contains(d.text, '|')""")
 def judge_work_batches(spark: SparkSession, d: str) -> DataFrame:
     """Unlabelled English documents that pass length and table-mark checks, in batches within their source."""
