@@ -23,7 +23,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the runs of lines that stand earlier; n_chars follows the text, and a document of which nothing but white space is left goes."""
+    """Documents without the lines that stand earlier, single ones too; n_chars follows the text, and a document of which nothing but white space is left goes."""
     out = line_dedup.dedup_lines(docs)
     new = {"text": F.when(F.col("n_removed") > 0, F.col("text")).otherwise(F.col("row.text")), "n_chars": F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("row.n_chars"))}
     left = out.where((F.col("n_removed") == 0) | F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")))

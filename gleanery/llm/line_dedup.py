@@ -36,7 +36,7 @@ def line_windows(text: str, min_lines: int) -> list[tuple[int, list[tuple[bytes,
     return out
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 2) -> DataFrame:
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 1) -> DataFrame:
     """(doc_id, text_hash, lines): the numbers of the lines that repeat an earlier run, per document that has any."""
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -55,7 +55,9 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(fp, pa.int64()), pa.array(windows, where)], names=["doc_id", "text_hash", "fp", "windows"])
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    marks = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")).where(F.instr("text", "\n") > 0)
+    marks = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    if min_lines > 1:  # shorter texts have no window; of one line, a text without a break is one
+        marks = marks.where(F.instr("text", "\n") > 0)
     marks = materialize(marks.mapInArrow(run, f"doc_id {kind}, text_hash long, fp long, windows array<struct<key:binary,at:array<int>>>"), "line-fingerprints")
     hot = marks.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp")
     near = marks.join(hot, "fp", "left_semi").select("doc_id", "text_hash", F.explode("windows").alias("w")).select("doc_id", "text_hash", "w.key", "w.at")
@@ -65,13 +67,14 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return later.groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("lines"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 2) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 1) -> DataFrame:
     """Deletes later repeated runs of lines; every input row with its columns, in a struct ``row``, and the outcome.
 
     Returns row (the columns as they came), doc_id, text (what is left), n_lines, n_removed, n_runs (maximal runs of
     removed lines, blank lines between them included in neither count).
 
-    A run is ``min_lines`` or more lines in a row, blank ones passed over and white space at the ends ignored. A line goes
+    A run is ``min_lines`` or more lines in a row, blank ones passed over and white space at the ends ignored; with 1, any line that
+    stands earlier goes, that of a one-line text too, with more a repeated line whose neighbours differ stays. A line goes
     if it is within a window of ``min_lines`` lines that also stands earlier, by (doc_id, line number), in this or another
     document. Windows are found by their winnowed fingerprints: fingerprints that occur once are left out, the windows around
     the others are joined by their 128-bit digests to the first place of each. A match longer than a window is that

@@ -21,7 +21,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup_lines(_read(spark, sf_dir, "documents"))
+    out = line_dedup.dedup_lines(_read(spark, sf_dir, "documents"), min_lines=2)  # as its SQL has it
     return out.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
 
 

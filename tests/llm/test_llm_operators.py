@@ -166,6 +166,14 @@ def test_lines(docs, none, min_lines):
     assert line_dedup.dedup_lines(none).count() == 0
 
 
+def test_single_lines_go(spark):
+    line, alone = "one line that many texts hold between other lines", "a text of one line"
+    rows = [(1, f"a b\n{line}\nc d"), (2, f"e f\n{line} \ng h\ne f"), (3, alone), (4, f" {alone}"), (5, f"{alone}\nnew")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in line_dedup.dedup_lines(d).collect()}
+    assert got == {1: (rows[0][1], 3, 0), 2: ("e f\ng h", 4, 2), 3: (alone, 1, 0), 4: ("", 1, 1), 5: ("new", 2, 1)}
+
+
 def brute_passages(rows, width):
     first: dict = {}
     for d, t in rows:
