@@ -25,13 +25,10 @@ def words(text: str) -> list[str]:
 
 
 def question_and_answer(text: str) -> tuple[list[str], list[str]]:
-    """An item's words up to and with its first question mark, and those after it; without one (or with nothing on a side), its halves."""
-    head, mark, tail = text.partition("?")
+    """An item's words up to and with its first question mark, and those after it; without one (or with nothing on a side), all its words and none."""
+    head, _, tail = text.partition("?")
     q, a = words(head), words(tail)
-    if not (mark and q and a):
-        all_words = q + a
-        q, a = all_words[: (len(all_words) + 1) // 2], all_words[(len(all_words) + 1) // 2 :]
-    return q, a
+    return (q, a) if q and a else (q + a, [])
 
 
 def shingles(w: list[str], width: int = 5) -> set[tuple[str, ...]]:
@@ -186,7 +183,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Every passage of every whole text is a query: windows of two steps, a step being the longest item's words (64 at least),
     so any item lies within one. An item is retrieved if its BM25 score for the passage's distinct words reaches ``threshold`` of its score
-    for its own; it counts if ``overlap`` of the five-word shingles of its question and as many of its answer stand in the text.
+    for its own; it counts if ``overlap`` of the five-word shingles of its question and as many of its answer stand in the text. An item
+    that doesn't give both is one question, asked for as a whole; its answer_overlap is 1.
 
     The benchmark is read in slices of ``size`` items, by length; each is one index, sent to the tasks, and one pass
     over the texts, while BM25 counts are of all items. Null and empty texts hold nothing; items without words are held by none;

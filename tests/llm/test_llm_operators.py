@@ -333,6 +333,15 @@ def test_decontaminate(spark, docs, none):
     assert sorted(str(r.doc_id) for r in decontaminate.clean(d, bench, size=15).collect()) == sorted(str(i) for i, _ in rows if i not in bad)
 
 
+def test_decontaminate_with_a_changed_word(spark):
+    item = [f"w{k}" for k in range(30)]
+    changed = lambda *at: " ".join("other" if k in at else x for k, x in enumerate(item))
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "q1 q2 q3 q4 q5 q6 q7? a1 a2 a3 a4 a5 a6 a7")], "item_id long, text string")
+    rows = [(1, "before " + changed(7) + " after"), (2, changed(7, 20)), (3, "q1 q2 q3 q4 q5 q6 q7 a1 a2 a3 other a5 a6 a7"), (4, "q1 q2 q3 q4 q5 q6 q7 a1 a2 a3 a4 a5 a6 a7")]
+    got = {(r.doc_id, r.item_id): (r.question_overlap, r.answer_overlap) for r in decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert got == {(1, 1): (21 / 26, 1.0), (4, 2): (1.0, 1.0)}
+
+
 def test_preference(spark):
     turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "one"), (1, 2, "user", "more <|end|>"), (1, 3, "assistant", "two"), (2, 0, "user", None), (3, 0, "user", "q"), (3, 1, "assistant", "a"), (3, 2, "user", "thanks"), (4, None, None, "x")]
     t = spark.createDataFrame([(*r, "z") for r in turns], "conv_id long, turn long, role string, text string, prompt string")
