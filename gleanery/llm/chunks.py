@@ -7,10 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialize
+from .common import bounded_batches
 
 SLICE = 1 << 20
 
@@ -86,16 +86,14 @@ def dedup_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Removes every chunk whose digest also stands earlier, by (doc_id, place), in this or another text.
 
     One row per input row: doc_id, text (what is left), n_bytes, n_removed, n_spans (maximal removed runs). Boundaries depend on the 32 bytes
-    before them, so an insertion shifts one or two chunks only and the others are found again. Digests have 128 bits. The first place of a digest
-    is a pre-aggregated minimum; joining it back is an equi-join whose hot keys Spark splits.
+    before them, so an insertion shifts one or two chunks only and the others are found again. Digests have 128 bits. Places are
+    ranked in one exchange of ids and digests, so small chunks are affordable; the places of one very common chunk meet in one task, without texts.
 
     Chunks shorter than ``least`` bytes (ends of texts) always stay. Null text counts as empty. Null doc_ids come last in the order. Rows that
     repeat both doc_id and text are one place and fare alike. No rows give no rows; other columns are ignored.
     """
-    rows = materialize(chunk_table(docs, id_col, text_col, least, bits, most), "chunks")
-    place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("text_hash").alias("t"), F.col("start").alias("s"))
-    first = rows.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    later = rows.join(first, ["k1", "k2"]).where(place > F.col("first"))
+    order = Window.partitionBy("k1", "k2").orderBy(F.col("doc_id").asc_nulls_last(), "text_hash", "start")
+    later = chunk_table(docs, id_col, text_col, least, bits, most).withColumn("place", F.rank().over(order)).where("place > 1")
     marks = later.groupBy(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash")).agg(F.collect_set("start").alias("starts"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     left = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))

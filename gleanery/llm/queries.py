@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from . import chunks, decontaminate, exact_dedup, line_dedup, packing, preference, quality, simhash, suffix, warc
 
 TOKENIZER = "byte_bpe_50k.json"
+#: Chunks so small that a repeated passage of 50 words holds whole ones.
+CHUNKS = {"least": 16, "bits": 4, "most": 64}
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -48,7 +50,7 @@ def op6_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = chunks.dedup_chunks(_read(spark, sf_dir, "documents"))
+    out = chunks.dedup_chunks(_read(spark, sf_dir, "documents"), **CHUNKS)
     return out.select("doc_id", "n_bytes", "n_removed", F.col("n_spans").cast("long").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"))
 
 

@@ -8,7 +8,7 @@ from base64 import b32encode
 import numpy as np
 import public_tokenizers
 import pytest
-from gleanery.llm import chunks, decontaminate, exact_dedup, golay, line_dedup, packing, preference, quality, simhash, suffix, warc
+from gleanery.llm import chunks, decontaminate, exact_dedup, golay, line_dedup, packing, preference, quality, queries, simhash, suffix, warc
 from gleanery.llm.components import components
 from pyspark.sql import functions as F
 
@@ -241,6 +241,15 @@ def test_chunks_resist_shifts():
     assert len(cut(b) - cut(a)) <= 4
 
 
+def test_chunks_of_the_query_catch_passages(spark, tmp_path):
+    rnd = random.Random(12)
+    passages = [prose(rnd, 60) for _ in range(100)]
+    rows = [(i, f"{prose(rnd, 20)} {p} {prose(rnd, 20)}") for i, p in enumerate(passages + passages)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    removed = {r.doc_id: r.n_removed for r in queries.op7_chunks(spark, str(tmp_path)).collect()}
+    assert all(removed[i] == 0 < removed[100 + i] for i in range(100)) and sum(removed.values()) >= 0.65 * sum(map(len, passages))
+
+
 def test_warc(spark, none):
     rnd = random.Random(4)
     big = prose(rnd, 60_000)
