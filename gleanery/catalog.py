@@ -360,6 +360,7 @@ g AS (SELECT DISTINCT source, CAST(0 AS BIGINT) AS r, CAST(0 AS BIGINT) AS used,
       UNION ALL SELECT g.source, t.r, CASE WHEN g.used + t.n_chars <= 8000 THEN g.used + t.n_chars ELSE g.used END, CASE WHEN g.used + t.n_chars <= 8000 THEN list_append(g.kept, t.doc_id) ELSE g.kept END FROM g JOIN top t ON t.source = g.source AND t.r = g.r + 1)
 SELECT source, array_to_string(kept, ',') AS kept, used FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY r DESC) AS k FROM g) WHERE k = 1""")
 def budget_pack(spark: SparkSession, d: str) -> DataFrame:
+    """First fit over the first 12 documents under 4,000 characters of each source, as its SQL has it; not over all that fit the budget."""
     top = planning.numbered(read(spark, d, "documents").where("n_chars < 4000").select("source", "doc_id", "n_chars"), [F.col("doc_id")], ["source"]).where("n < 12")
     listed = top.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("n", "doc_id", "n_chars"))).alias("i"))
     kept = retrieval.first_fit(F.col("i"), lambda x: x["n_chars"], 8000)
