@@ -6,7 +6,7 @@ Each stage takes (spark, docs, sf_dir) and works on all that the one before has
 
 from __future__ import annotations
 
-from gleanery.llm import decontaminate, line_dedup, packing, quality, simhash
+from gleanery.llm import decontaminate, line_dedup, near_copies, packing, quality
 from gleanery.llm.common import bounded_batches, materialize
 from gleanery.llm.queries import tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +31,12 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the smallest doc_id."""
-    return simhash.keep_first(docs)
+    """One document of each group of near-duplicates, that with the smallest doc_id; links are five-word similarities of 0.8 or more.
+
+    Fingerprints at 4 bits, op2's contract, reach few of those, so bands of least hashes give candidates too. Null and empty texts are
+    one group; of rows that repeat id and text one stays; a null doc_id stays only in a group without others.
+    """
+    return near_copies.keep_first(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

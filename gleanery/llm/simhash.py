@@ -21,22 +21,30 @@ BLOCK = 20_000
 _SLICE = 1 << 16
 
 
-def fingerprint(text: str, width: int = 4, seed: int = 42) -> int:
-    """SimHash of the ``width``-word shingles, as an unsigned 64-bit integer; see ``fingerprints``."""
+def shingle_hashes(text: str, width: int = 4, seed: int = 42) -> np.ndarray:
+    """XXH64 of each ``width``-word shingle, repeats included; of fewer words the whole sequence's, of none none."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = max(1, len(words) - width + 1)
-    starts, ends = starts[:n], ends[len(words) - n :]
-    set_bits = np.zeros(64, np.int64)
     digest = xxhash.xxh64_intdigest
-    for at in range(0, n, _SLICE):
-        h = np.array([digest(joined[a:b], seed) for a, b in zip(starts[at : at + _SLICE].tolist(), ends[at : at + _SLICE].tolist())], "<u8")
-        set_bits += np.unpackbits(h.view(np.uint8), bitorder="little").reshape(-1, 64).sum(0, dtype=np.int64)
-    return int(np.packbits(2 * set_bits > n, bitorder="little").view("<u8")[0])
+    return np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts[:n].tolist(), ends[len(words) - n :].tolist())), np.uint64, n)
+
+
+def set_bits(hashes: np.ndarray) -> int:
+    """The bits that over half of the hashes have set; zero for none."""
+    count = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), _SLICE):
+        count += np.unpackbits(hashes[at : at + _SLICE].astype("<u8").view(np.uint8), bitorder="little").reshape(-1, 64).sum(0, dtype=np.int64)
+    return int(np.packbits(2 * count > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def fingerprint(text: str, width: int = 4, seed: int = 42) -> int:
+    """SimHash of the ``width``-word shingles, as an unsigned 64-bit integer; see ``fingerprints``."""
+    return set_bits(shingle_hashes(text, width, seed))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
@@ -191,32 +199,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = materialize(fingerprints(docs, id_col, text_col, width), "simhash")
     named = _classes(own, most, block)
     return own.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component_size")
-
-
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, most: int = 4, block: int = BLOCK) -> DataFrame:
-    """The rows of ``docs``, all their columns, that have the smallest doc_id of their component; see ``near_duplicates``.
-
-    Of rows that repeat that doc_id one stays, and of a component without any doc_id one row; which of equals is not told. An id
-    may stand for several rows, so the choice is made by the row's fingerprint and text hash along with it.
-    """
-    bounded_batches(docs.sparkSession)
-    text = whole_text(text_col)
-    kind = docs.schema[id_col].dataType.simpleString()
-    keyed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
-    own = materialize(keyed.mapInArrow(_hashed(width), f"doc_id {kind}, h long, fp long"), "simhash")
-    classes = _classes(own.select("doc_id", "fp"), most, block)
-    least = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("h").alias("h"))
-    stay = own.join(classes, "fp").groupBy("component_id", "component_size", F.when(F.col("component_id").isNull(), F.col("fp")).alias("x")).agg(F.min(least).alias("k"))
-    stay = stay.select(F.col("k.d").alias("k_id"), F.col("k.h").alias("k_h")).distinct()
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    both = docs.select(row.alias("row"), F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("h")).join(stay, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("h") == F.col("k_h")), "left_semi")
-    return both.dropDuplicates(["doc_id", "h"]).select("row.*")
-
-
-def _hashed(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fp = np.fromiter((fingerprint(t, width) for t in (x.as_py() for x in b.column(2))), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp.view(np.int64))], names=["doc_id", "h", "fp"])
-
-    return run

@@ -2,13 +2,14 @@
 
 import hashlib
 import random
+import re
 import zlib
 from base64 import b32encode
 
 import numpy as np
 import public_tokenizers
 import pytest
-from gleanery.llm import chunks, decontaminate, exact_dedup, golay, line_dedup, packing, preference, quality, queries, simhash, suffix, warc
+from gleanery.llm import chunks, decontaminate, exact_dedup, golay, line_dedup, near_copies, packing, preference, quality, queries, simhash, suffix, warc
 from gleanery.llm.components import components
 from pyspark.sql import functions as F
 
@@ -113,9 +114,83 @@ def test_simhash(docs, none, block):
     want = sorted([(d, f"{fps[i]:016x}", None if least[find(i)] == BIG else least[find(i)]) for i, (d, _) in enumerate(rows)], key=str)
     assert sorted([(r["doc_id"], r["fingerprint"], r["component_id"]) for r in got], key=str) == want
     assert simhash.near_duplicates(none).count() == 0
-    kept = simhash.keep_first(docs)
-    assert kept.columns == docs.columns and kept.count() == len({find(i) for i in range(len(rows))})
-    assert simhash.keep_first(none).count() == 0
+
+
+def groups_of(links, n):
+    parent = list(range(n))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return [find(i) for i in range(n)]
+
+
+def similar_links(texts, width=5, similarity=0.8):
+    def own(t):
+        w = [x for x in re.split(r"[\x20\x09-\x0D]+", t.translate({c: c + 32 for c in range(65, 91)})) if x]
+        return {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
+
+    sets = [own(t) for t in texts]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or (a and b and len(a & b) >= similarity * len(a | b)):
+                yield i, j
+
+
+def near_texts():
+    """Groups of texts with some words changed, and texts that hold a common passage."""
+    rnd = random.Random(31)
+    out = []
+    for g in range(12):
+        base = prose(rnd, rnd.choice((12, 30, 80, 200))).split()
+        for _ in range(rnd.randint(1, 9)):
+            w = list(base)
+            for _ in range(rnd.randint(0, max(1, len(base) // 25))):
+                w[rnd.randrange(len(w))] = rnd.choice(VOCAB)
+            out.append(" ".join(w))
+    passage = prose(rnd, 60)
+    out += [f"{passage} {prose(rnd, 25)}" for _ in range(15)] + [prose(rnd, 50) for _ in range(10)]
+    out += ["A b", "a  B\n", "a b c d e", "A b c d E", "a b c d e f", "", " \n", "one", "two"]
+    return out
+
+
+@pytest.mark.parametrize("block", [2000, 3])
+def test_near_copies(spark, none, block):
+    texts = near_texts()
+    rows = [(1000 - i, t) for i, t in enumerate(texts)] + [(1000, texts[0]), (None, texts[3]), (None, "alone as can be"), (5, None)]
+    d = spark.createDataFrame([(i, t, 1, 2, "r", "l", "f") for i, t in rows], SCHEMA).repartition(4)
+    all_texts = [t or "" for _, t in rows]
+    want = groups_of(similar_links(all_texts), len(rows))
+    ids = sorted((str(i), t) for (i, _), t in zip(rows, all_texts))
+    grp: dict = {}
+    got = near_copies.similar_groups(d, block=block).collect()
+    assert sorted(str(r.doc_id) for r in got) == [i for i, _ in ids]
+    h = {r.h: r.t for r in d.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), F.coalesce("text", F.lit("")).alias("t")).collect()}
+    for r in got:
+        grp.setdefault(r.grp, set()).add((str(r.doc_id), h[r.h]))
+    brute: dict = {}
+    for g, (i, _), t in zip(want, rows, all_texts):
+        brute.setdefault(g, set()).add((str(i), t))
+    assert sorted(map(sorted, grp.values())) == sorted(map(sorted, brute.values()))
+    kept = near_copies.keep_first(d, block=block)
+    first = lambda s: min(s, key=lambda x: (x[0] == "None", 0 if x[0] == "None" else int(x[0])))[0]
+    assert kept.columns == d.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(first(s) for s in brute.values())
+    assert near_copies.keep_first(none).count() == 0 and near_copies.keep_first(none).schema == none.schema
+
+
+def test_bands_of_similar_sets_meet():
+    rnd = np.random.default_rng(5)
+    for n in (1, 9, 45, 900):
+        for _ in range(300):
+            a = rnd.integers(0, 2**64, n, dtype=np.uint64)
+            k = n - int(n / 9)  # n / 9 of either are its own: a similarity of 0.8
+            b = np.concatenate([a[:k], rnd.integers(0, 2**64, n - k, dtype=np.uint64)])
+            assert set(near_copies.band_keys(np.unique(a))) & set(near_copies.band_keys(np.unique(b)))
 
 
 def test_fingerprint_by_hand():

@@ -3,7 +3,8 @@
 import corpus_pipeline
 import duckdb
 import pytest
-from gleanery.llm import decontaminate, line_dedup, queries, simhash
+from gleanery.llm import decontaminate, line_dedup, queries
+from test_llm_operators import groups_of, similar_links
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,8 +35,9 @@ def test_pipeline(spark):
     cut = {r.doc_id: r.text for r in line_dedup.dedup_lines(before).select("doc_id", "text").collect()}
     assert all(r.text == cut[r.doc_id] and r.n_chars == len(r.text) for r in after.collect())
     assert {i for i, t in cut.items() if t.strip(" \t\n\x0b\x0c\r")} == ids(after)
-    parts = {r.doc_id: r.component_id for r in simhash.near_duplicates(seen[2][1]).collect()}
-    assert ids(seen[2][2]) == {i for i, c in parts.items() if i == c}
+    left = sorted((r.doc_id, r.text or "") for r in seen[2][1].collect())
+    group = groups_of(similar_links([t for _, t in left]), len(left))
+    assert ids(seen[2][2]) == {left[g][0] for g in group}
     bad = {r.doc_id for r in decontaminate.contaminated(seen[3][1], spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
     assert ids(seen[3][2]) == ids(seen[3][1]) - bad
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
