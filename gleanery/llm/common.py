@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.tables import materialize, scratch, shared_dir
 
-__all__ = ["bounded_batches", "materialize", "scratch", "shared_dir", "whole_text", "wide"]
+__all__ = ["bounded_batches", "heavy_join", "materialize", "scratch", "shared_dir", "whole_text", "wide"]
+
 
 def whole_text(name: str) -> Column:
     """The text column; null counts as empty."""
@@ -19,6 +20,26 @@ def wide(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def bounded_batches(spark: SparkSession, megabytes: int = 16) -> None:
-    """Bounds the Arrow batches that Python workers get by their size; a row count alone doesn't bound long texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches that Python workers get to 4 MB; a row count alone doesn't bound long texts.
+
+    Frames are lazy, so the session keeps this setting; it is the same for all operators, and which came last makes no difference.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
+def heavy_join(rows: DataFrame, found: DataFrame, on: list[str], count: str = "c", how: str = "inner", share: int = 4) -> DataFrame:
+    """``rows`` joined with ``found``, a table of one row per key that counts the rows of its key.
+
+    A key that has over one in ``share * partitions`` of all counted rows is joined by broadcast, so its rows stay where they are; there
+    are fewer than ``share * partitions`` of those, whatever the data. All other keys are joined by sort-merge. ``found`` should be a written table,
+    as it is read more than once; the count doesn't come back. ``how`` is inner, left or left_semi.
+    """
+    total = found.agg(F.sum(count)).first()[0] or 0
+    most = total / (share * wide(rows.sparkSession))
+    heavy, light = found.where(F.col(count) > most).drop(count), found.where(F.col(count) <= most).drop(count)
+    if heavy.isEmpty():
+        return rows.join(light.hint("merge"), on, how)
+    own = rows.join(F.broadcast(heavy), on, "inner" if how == "left" else how)
+    rest = rows.join(F.broadcast(heavy.select(*on)), on, "left_anti").join(light.hint("merge"), on, how)
+    return own.unionByName(rest)
