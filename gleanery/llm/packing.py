@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import zlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -13,9 +13,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, whole_text, wide
+from .common import bounded_batches, materialize, whole_text, wide
 
-#: Split pattern of this family of byte-level tokenizers (fixed value).
+#: Split pattern that the library's byte-level pre-tokenizer stands for (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
@@ -26,19 +26,31 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _require_plain(spec: dict) -> None:
+    """Byte-level BPE without normalizer, affixes, dropout and prefix space, whose merges stand in the order of their ids."""
+    model, split = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    plain &= split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space", True) and spec.get("normalizer") is None and spec.get("truncation") is None
+    made = [model["vocab"].get("".join(m) if isinstance(m, list) else m.replace(" ", "")) for m in model["merges"]]
+    if not plain or None in made or any(a >= b for a, b in zip(made, made[1:])):
+        raise ValueError("the tokenizer file is no plain byte-level BPE with merges in the order of their ids")
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str):
     """texts -> arrays of ids, for the byte-level BPE file at ``path`` of the ``tokenizers`` library.
 
     The ids are those of ``Tokenizer.encode(text, add_special_tokens=False)``: none is added, and a special token's string
     within a text is that token. The file's vocabulary is run by a faster BPE core; texts with an added token go to the
-    library itself, and each call holds its text of middle length against it and stops at any difference.
+    library itself, and each call holds its whole text of middle length against it and stops at any difference. A file with
+    settings that this core doesn't have is refused.
     """
     import tiktoken
     from tokenizers import Tokenizer
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
+    _require_plain(spec)
     letters = _byte_letters()
     added = {t["content"] for t in spec.get("added_tokens", [])}
     ranks = {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in added}
@@ -49,7 +61,7 @@ def encoder(path: str):
         own = [not any(a in t for a in added) for t in texts]
         plain = sorted((t for t, o in zip(texts, own) if o), key=len)
         if plain:
-            probe = plain[len(plain) // 2][:20_000]
+            probe = plain[len(plain) // 2]
             if fast.encode_ordinary(probe) != exact.encode(probe, add_special_tokens=False).ids:
                 raise ValueError(f"the two cores disagree on {probe[:80]!r}")
         for t, o in zip(texts, own):
@@ -88,11 +100,51 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id:
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
+    bounded_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * keep_ids
     return docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text")).mapInArrow(run, schema)
 
 
+#: Groups of equal cardinality that large lengths are rounded up in. Large are those over a third of the capacity, so a pattern has two at most.
+GROUPS = 64
+
+
+def configurations(sizes: list[int], counts: list[int], capacity: int, steps: int = 20_000) -> list[tuple[list[int], float]]:
+    """The linear programme of the few sizes: (how many of each size, sequences) of the patterns that hold all counts in the fewest sequences.
+
+    Solved by column generation: a pattern enters that is worth most at the current prices, a knapsack over the sizes, until none is
+    worth more than a sequence. ``steps`` only ends a run that makes no progress; any stage of it is a valid mix of patterns.
+    """
+    n = len(sizes)
+    s, d = np.array(sizes), np.array(counts, float)
+    columns = np.diag(capacity // s).astype(float)
+    deepest = int(capacity // s.min())
+    value_of = np.zeros((deepest + 1, capacity + 1))
+    choice = np.zeros((deepest + 1, capacity + 1), np.int64)
+    at = np.arange(capacity + 1)[None, :] - s[:, None]
+    for _ in range(steps):
+        inverse = np.linalg.inv(columns)
+        x, price = inverse @ d, inverse.sum(0)
+        for k in range(1, deepest + 1):  # patterns of k documents at most
+            worth = np.where(at >= 0, value_of[k - 1][np.maximum(at, 0)] + price[:, None], -1.0)
+            choice[k] = best = worth.argmax(0)
+            more = worth[best, np.arange(capacity + 1)]
+            value_of[k] = np.maximum(more, value_of[k - 1])
+            choice[k][more <= value_of[k - 1] + 1e-12] = -1
+        if value_of[deepest][capacity] <= 1 + 1e-7:
+            break
+        pattern, room = np.zeros(n), capacity
+        for k in range(deepest, 0, -1):
+            if (i := choice[k][room]) >= 0:
+                pattern[i] += 1
+                room -= s[i]
+        step = inverse @ pattern
+        ratio = np.where(step > 1e-9, np.maximum(x, 0) / np.where(step > 1e-9, step, 1), np.inf)
+        columns[:, int(ratio.argmin())] = pattern
+    return [(columns[:, j].astype(int).tolist(), float(v)) for j, v in enumerate(np.linalg.inv(columns) @ d) if v > 0]
+
+
 class Plan:
     """Where documents go, told by length and rank among those of the same length.
 
@@ -100,8 +152,9 @@ class Plan:
     ranks that follow. Everything is counted by length, so the plan's size depends on the capacity alone.
     """
 
-    def __init__(self, counts: dict[int, int], capacity: int = 1024, groups: int = 1024, small: int = 128):
+    def __init__(self, counts: dict[int, int], capacity: int = 1024, groups: int = GROUPS, small: int | None = None):
         self.capacity, self.rows, self.sequences = capacity, [], 0
+        small = capacity // 3 if small is None else small
         self._taken: dict[int, int] = {}
         self._room: dict[int, list[tuple[int, int]]] = {}  # room -> runs (first sequence, sequences)
         if full := counts.get(capacity):
@@ -120,100 +173,58 @@ class Plan:
         self._taken[length] = at + n
 
     def _configurations(self, counts: dict[int, int], groups: int) -> None:
-        """Rounds lengths up within groups of equal cardinality, fills sequences with the few rounded
-        sizes, largest first with the best partners, and puts actual documents in their places."""
+        """Rounds lengths up within groups of equal cardinality and optimises the patterns of the few rounded sizes together; then actual
+        documents take their places, as large ones as the actual room allows, so what rounding has wasted is used again."""
         total = sum(counts.values())
-        share, queues, sizes, left = max(1, -(-total // groups)), [], [], []
-        run: list[list[int]] = []
-        for s in sorted(counts, reverse=True):
+        share, sizes = max(1, -(-total // groups)), {}
+        before = 0
+        for s in sorted(counts, reverse=True):  # a group's size is that of its first, largest document
             c = counts[s]
             while c:
-                have = sum(n for _, n in run)
-                n = min(c, share - have)
-                run.append([s, n])
+                n = min(c, share - before % share)
+                if before % share == 0:
+                    size = s
+                sizes[size] = sizes.get(size, 0) + n
+                before += n
                 c -= n
-                if have + n == share:
-                    queues.append(run)
-                    run = []
-        if run:
-            queues.append(run)
-        merged: dict[int, list[list[int]]] = {}
-        for q in queues:  # groups that round to the same size are one
-            merged.setdefault(q[0][0], []).extend(q)
-        for size, q in merged.items():
-            sizes.append(size)
-            queues = q
-            left.append([size, sum(n for _, n in q), queues])
-        by_size = {size: i for i, size in enumerate(sizes)}
-        first = 0
-        while first < len(left):
-            if not left[first][1]:
-                first += 1
-                continue
-            pattern = [first, *self._partners(left, by_size, first)]
-            mult: dict[int, int] = {}
-            for i in pattern:
-                mult[i] = mult.get(i, 0) + 1
-            times = min(left[i][1] // m for i, m in mult.items())
-            self._fill([left[i] for i in pattern], times)
-
-    def _partners(self, left: list, by_size: dict[int, int], first: int) -> list[int]:
-        """Of the sizes left, those that fill best what the first leaves; larger ones are tried first."""
-        room = self.capacity - left[first][0]
-        exact = by_size.get(room)
-        if exact is not None and left[exact][1] > (exact == first):
-            return [exact]
-        reach: list[tuple[int, int, int] | None] = [None] * (room + 1)  # last size, how many of it, from where
-        reach[0] = (-1, 0, 0)
-        for i in range(first, len(left)):
-            size, n = left[i][0], left[i][1] - (i == first)
-            if n <= 0 or size > room:
-                continue
-            for r in range(size, room + 1):
-                before = reach[r - size]
-                if reach[r] is None and before is not None:
-                    used = before[1] if before[0] == i else 0
-                    if used < n:
-                        reach[r] = (i, used + 1, r - size)
-            if reach[room] is not None:
-                break
-        at = max(r for r in range(room + 1) if reach[r] is not None)
-        out = []
-        while at:
-            i, _, at = reach[at]
-            out.append(i)
-        return out
-
-    def _fill(self, slots: list, times: int) -> None:
-        """``times`` sequences, each with a document from each slot's group; cut where an actual length changes."""
-        taken = []
-        for slot in slots:
-            need, parts = times, []
-            slot[1] -= times
-            while need:
-                s, n = slot[2][0]
-                k = min(n, need)
-                parts.append((s, k))
-                need -= k
-                if k == n:
-                    slot[2].pop(0)
-                else:
-                    slot[2][0][1] -= k
-            taken.append(parts)
-        at = 0
-        heads = [[0, 0] for _ in taken]  # part, used of it
-        while at < times:
-            step = min(parts[h[0]][1] - h[1] for parts, h in zip(taken, heads))
-            first, offset = self._open(step), 0
-            for parts, h in zip(taken, heads):
-                self._put(parts[h[0]][0], step, first, offset)
-                offset += parts[h[0]][0]
-                h[1] += step
-                if h[1] == parts[h[0]][1]:
-                    h[0], h[1] = h[0] + 1, 0
-            if offset < self.capacity:
-                self._room.setdefault(self.capacity - offset, []).append((first, step))
-            at += step
+        left = dict(counts)
+        if sizes:
+            patterns = configurations(list(sizes), list(sizes.values()), self.capacity)
+            slots = [([size for size, m in zip(sizes, pattern) for _ in range(m)], int(times + 1e-6)) for pattern, times in patterns]
+            for pattern, times in sorted(slots, reverse=True):
+                self._fill(pattern, times, left)
+        if left:  # what whole patterns leave
+            self._fill([self.capacity] * (self.capacity // min(left)), sum(left.values()), left)
+
+    def _fill(self, slots: list[int], times: int, left: dict[int, int]) -> None:
+        """Up to ``times`` sequences of a pattern: in its first place the largest document left that its size admits, in each further
+        one, and beyond the pattern, the largest that the room does. Sequences alike are made at once."""
+        lengths = sorted(left)
+        while times and lengths:
+            taken, room = [], self.capacity
+            while True:
+                k = bisect_right(lengths, room if taken else slots[0]) - 1
+                while k >= 0 and taken.count(lengths[k]) >= left[lengths[k]]:
+                    k -= 1
+                if k < 0:
+                    break
+                taken.append(lengths[k])
+                room -= lengths[k]
+            if not taken:
+                return
+            n = min(times, *(left[s] // taken.count(s) for s in taken))
+            first, offset = self._open(n), 0
+            for s in taken:
+                self._put(s, n, first, offset)
+                offset += s
+                left[s] -= n
+            for s in set(taken):
+                if not left[s]:
+                    del left[s]
+                    lengths.remove(s)
+            if room:
+                self._room.setdefault(room, []).append((first, n))
+            times -= n
 
     def _best_fit(self, counts: dict[int, int]) -> None:
         """Small lengths, largest first, each to the sequence with the least room that holds it."""
@@ -246,15 +257,17 @@ class Plan:
                     rooms.insert(bisect_left(rooms, room), room)
 
 
-def pack(pieces: DataFrame, capacity: int = 1024, groups: int = 1024, small: int = 128, salts: int | None = None) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 1024, groups: int = GROUPS, small: int | None = None, salts: int | None = None) -> DataFrame:
     """Pieces (doc_id, piece, start, length, ...) -> the same rows with sequence_id and offset.
 
-    The driver sees one count per length, ``capacity`` numbers at most, and sends back a plan whose size
-    has the same bound. Documents find their place by their rank among those of the same length; the ranks
+    A piece of full length is a sequence, of a negative number. For the others the driver sees one count per length, ``capacity`` numbers at most, and sends
+    back a plan whose size has the same bound. They find their place by their rank among those of the same length; the ranks
     are dealt over ``salts`` parts of each length, so a length that very many documents have is no hot spot.
     """
     spark = pieces.sparkSession
     salts = salts or max(64, wide(spark))
+    whole = pieces.where(F.col("length") >= capacity).select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    pieces = pieces.where(F.col("length") < capacity)
     counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}
     plan = Plan(counts, capacity, groups, small)
     table = np.array(sorted(plan.rows), np.int64).reshape(-1, 5)
@@ -277,15 +290,14 @@ def pack(pieces: DataFrame, capacity: int = 1024, groups: int = 1024, small: int
             sequence, offset = table[k, 3] + rank - table[k, 1], table[k, 4]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(sequence), pa.array(offset)], names=[*b.schema.names[:-1], "sequence_id", "offset"])
 
-    return ranked.mapInArrow(place, f"{kinds}, sequence_id long, offset long")
+    return whole.unionByName(ranked.mapInArrow(place, f"{kinds}, sequence_id long, offset long"))
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, groups: int = 1024) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, groups: int = GROUPS) -> DataFrame:
     """Packs all documents into as few sequences of at most ``capacity`` tokens as it can.
 
-    One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids if asked for).
-    Large lengths are rounded up within ``groups`` groups of equal cardinality; sequences are filled with those
-    few sizes; actual documents, none longer than its size, take the places; the small ones go where they fit best.
+    One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids if asked for). Large lengths are rounded up within ``groups`` groups of equal cardinality; a linear programme finds the patterns that fill
+    sequences with those few sizes; actual documents, none longer than its size, take the places; the small ones go where they fit best.
 
     Null and empty texts are the end id alone. Null doc_ids and repeated rows are packed as often as they come; no
     rows give no rows; a text of any length is cut, never dropped; other columns are ignored.
