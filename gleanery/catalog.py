@@ -2,39 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
 from .operators import checks, code, dedup, planning, refine, release, retrieval, review, selection, state, validate
 from .plans.tables import materialize, scratch
+from .registry import QUERIES, SQL, big, query, read
 from .sources import tools
 from .streaming import streams
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
-
-def big(*names: str) -> list[Column]:
-    return [F.col(n).cast("long").alias(n) for n in names]
-
-
 # State
 
 
@@ -101,8 +78,10 @@ def url_classify_area(spark: SparkSession, d: str) -> DataFrame:
 q AS (SELECT area, CASE WHEN chunks > 0 THEN greatest(1, floor(weight / CAST((SELECT sum(weight) FROM w WHERE chunks > 0) AS DOUBLE) * CAST(6200 AS DOUBLE) * CAST(0.9 AS DOUBLE) + CAST(0.5 AS DOUBLE))) ELSE 0 END AS quota FROM w)
 SELECT area, CAST(sum(quota) AS BIGINT) AS quota, count(*) AS pages FROM q GROUP BY area""")
 def quota_by_area(spark: SparkSession, d: str) -> DataFrame:
-    p = read(spark, d, "pages").select("page_id", planning.classify(T.url_path(F.col("url")), LANG_RULES).alias("a"), F.regexp_count("html", F.lit("<p>")).alias("chunks")).select("page_id", "a.*", "chunks")
-    return planning.allocate(p).groupBy("area").agg(F.sum("quota").alias("quota"), F.count(F.lit(1)).alias("pages"))
+    pages = read(spark, d, "pages")
+    chunks = pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit("<p>"), F.lit(0))))
+    p = pages.select("page_id", planning.classify(T.url_path(F.col("url")), LANG_RULES).alias("a")).select("page_id", "a.*")
+    return planning.allocate(planning.chunk_counts(p, chunks, "page_id")).groupBy("area").agg(F.sum("quota").alias("quota"), F.count(F.lit(1)).alias("pages"))
 
 
 @query(r"""SELECT page_id, array_to_string(list_filter(list_transform(regexp_extract_all(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&[#a-zA-Z0-9]+;', ' ', 'g'))), lambda x: x <> ''), '|') AS headings FROM pages""")
@@ -205,16 +184,30 @@ _MAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 @query(rf"""SELECT doc_id, CAST(len(regexp_extract_all(text, '{_MAIL}')) AS BIGINT) AS mails, CAST(len(regexp_extract_all(text, 'https?://[^\s)>\]"]+')) AS BIGINT) AS links FROM documents
 WHERE regexp_matches(text, '{_MAIL}') OR regexp_matches(text, 'https?://')""")
 def pii_link_scan(spark: SparkSession, d: str) -> DataFrame:
-    x = read(spark, d, "documents").select("doc_id", F.regexp_count("text", F.lit(_MAIL)).cast("long").alias("mails"), F.regexp_count("text", F.lit(r'https?://[^\s)>\]"]+')).cast("long").alias("links"))
+    x = read(spark, d, "documents").select("doc_id", F.regexp_count("text", F.lit(_MAIL)).cast("long").alias("mails"), F.size(T.links(F.col("text"))).cast("long").alias("links"))
     return x.where((F.col("mails") > 0) | (F.col("links") > 0))
 
 
 @query("""SELECT reason, count(*) AS n FROM (SELECT CASE WHEN l.doc_id IS NULL THEN 'unlabelled' WHEN l.toxic = 1 THEN 'toxic' WHEN l.quality = 0 THEN 'low-quality' WHEN length(d.text) < 200 THEN 'too-short' ELSE 'kept' END AS reason
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id) GROUP BY reason""")
 def gate_reasons(spark: SparkSession, d: str) -> DataFrame:
-    x = read(spark, d, "documents").select("doc_id", F.length("text").alias("n")).join(read(spark, d, "labels"), "doc_id", "left")
-    reason = F.when(F.col("quality").isNull() & F.col("toxic").isNull(), "unlabelled").when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low-quality").when(F.col("n") < 200, "too-short").otherwise("kept")
-    return x.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    x = read(spark, d, "documents").join(read(spark, d, "labels"), "doc_id", "left")
+    ok, low = F.lit(5.0), F.lit(1.0)
+    text = "string"
+    questions = x.select(F.col("doc_id").alias("id"), F.lit("q").alias("question"))
+    answers = x.select(F.col("doc_id").alias("id"), F.col("text").alias("answer"), F.array().cast("array<string>").alias("sources"))
+    verdict = F.when(F.col("quality") == 0, "reject").otherwise("pass")
+    judge = x.select(F.col("doc_id").alias("id"), verdict.alias("verdict"), ok.alias("accuracy"), ok.alias("version"), F.when(F.length("text") < 200, low).otherwise(ok).alias("usefulness"), ok.alias("concise"), F.lit(None).cast(text).alias("fixed_answer"))
+    none = x.limit(0).select(F.col("doc_id").alias("id"))
+    checks_ = none.select("id", F.array().cast("array<string>").alias("hard"), F.array().cast("array<string>").alias("soft"))
+    grade = F.struct(F.lit("").alias("verdict"), ok.alias("accuracy"), ok.alias("version"), ok.alias("usefulness"), ok.alias("concise"))
+    refined = x.where(F.col("quality").isNull() & F.col("toxic").isNull()).select(F.col("doc_id").alias("id"), F.lit("retry").alias("status"), F.lit("").alias("answer"), F.array().cast("array<string>").alias("soft"), grade.alias("verdict"))
+    manual = x.where("toxic = 1").select(F.col("doc_id").alias("id"), F.lit("drop").alias("action"), F.lit(None).cast(text).alias("answer"), F.lit(None).cast(text).alias("question"))
+    out = selection.candidates(questions, answers, checks_, judge, refined, checks_, checks_.select("id", "hard"), manual)
+    names = {"refine-retry": "unlabelled", "manual-drop": "toxic", "judge-reject": "low-quality", "low-scores": "too-short"}
+    renamed = F.create_map(*[F.lit(v) for kv in names.items() for v in kv])
+    dropped = selection.drop_histogram(out).select(renamed[F.col("drop_reason")].alias("reason"), "n")
+    return dropped.unionByName(out.where("drop_reason is null").agg(F.count(F.lit(1)).alias("n")).where("n > 0").select(F.lit("kept").alias("reason"), "n"))
 
 
 _GRADES = "CAST(CASE WHEN l.quality = 1 THEN 5 ELSE 2 END AS DOUBLE) AS accuracy, CAST(CASE WHEN l.toxic = 0 THEN 5 ELSE 1 END AS DOUBLE) AS version, CAST(d.n_chars % 3 + 3 AS DOUBLE) AS usefulness, CAST(CASE WHEN length(d.text) < 6000 THEN 4 ELSE 2 END AS DOUBLE) AS concise"
@@ -254,17 +247,15 @@ def shingle_jaccard_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH s AS (SELECT doc_id, {_SHINGLES} AS sh FROM (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents)) SELECT doc_id, min(doc_id) OVER (PARTITION BY sh) AS rep, CAST(len(sh) AS BIGINT) AS n_shingles FROM s")
 def shingle_membership(spark: SparkSession, d: str) -> DataFrame:
-    return dedup.shingle_classes(read(spark, d, "documents"), "doc_id", "text").select(F.col("id").alias("doc_id"), "rep", F.size("shingles").cast("long").alias("n_shingles"))
+    return dedup.shingle_classes(read(spark, d, "documents"), "doc_id", "text").select(F.col("id").alias("doc_id"), "rep", F.col("n").cast("long").alias("n_shingles"))
 
 
 @query(f"""WITH i AS (SELECT item_id, {_SHINGLES} AS sh FROM (SELECT item_id, {_WORDS.format('text')} AS w FROM benchmark)), e AS (SELECT item_id, len(sh) AS n, unnest(sh) AS g FROM i),
 s AS (SELECT doc_id, unnest({_SHINGLES}) AS g FROM (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents))
 SELECT doc_id, item_id, round(count(*) / CAST(max(n) AS DOUBLE), 6) AS share FROM s JOIN e ON s.g = e.g GROUP BY doc_id, item_id HAVING count(*) >= 0.5 * max(n)""")
 def benchmark_overlap(spark: SparkSession, d: str) -> DataFrame:
-    i = read(spark, d, "benchmark").select("item_id", T.shingles(F.col("text")).alias("sh")).select("item_id", F.size("sh").alias("n"), F.explode("sh").alias("g"))
-    s = read(spark, d, "documents").select("doc_id", F.explode(T.shingles(F.col("text"))).alias("g"))
-    x = s.join(i, "g").groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("k"), F.max("n").alias("n"))
-    return x.where(F.col("k") >= 0.5 * F.col("n")).select("doc_id", "item_id", F.round(F.col("k") / F.col("n"), 6).alias("share"))
+    out = retrieval.held_shares(read(spark, d, "documents"), read(spark, d, "benchmark"), 0.5)
+    return out.select("doc_id", "item_id", F.round("share", 6).alias("share"))
 
 
 _PAIRS = "SELECT x.vec_id AS a, y.vec_id AS b, list_cosine_similarity(CAST(x.embedding AS DOUBLE[]), CAST(y.embedding AS DOUBLE[])) AS c FROM embeddings x JOIN embeddings y ON x.vec_id < y.vec_id WHERE list_cosine_similarity(CAST(x.embedding AS DOUBLE[]), CAST(y.embedding AS DOUBLE[])) > CAST(0.35 AS DOUBLE)"
@@ -355,17 +346,13 @@ def overlap_topk(spark: SparkSession, d: str) -> DataFrame:
     return retrieval.top_overlap(q, c, 4).select(F.col("query_id").alias("item_id"), F.col("key").alias("doc_id"), *big("hits"), F.col("rank").cast("long").alias("rk"))
 
 
-@query("""WITH RECURSIVE h AS (SELECT source, doc_id, n_chars, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents WHERE n_chars < 4000), top AS (SELECT * FROM h WHERE r <= 12),
-g AS (SELECT DISTINCT source, CAST(0 AS BIGINT) AS r, CAST(0 AS BIGINT) AS used, CAST([] AS BIGINT[]) AS kept FROM top
-      UNION ALL SELECT g.source, t.r, CASE WHEN g.used + t.n_chars <= 8000 THEN g.used + t.n_chars ELSE g.used END, CASE WHEN g.used + t.n_chars <= 8000 THEN list_append(g.kept, t.doc_id) ELSE g.kept END FROM g JOIN top t ON t.source = g.source AND t.r = g.r + 1)
-SELECT source, array_to_string(kept, ',') AS kept, used FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY r DESC) AS k FROM g) WHERE k = 1""")
+@query("""WITH RECURSIVE h AS (SELECT source, doc_id, n_chars, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents WHERE n_chars <= 8000),
+g AS (SELECT DISTINCT source, CAST(0 AS BIGINT) AS r, CAST(0 AS BIGINT) AS used, CAST(NULL AS BIGINT) AS doc_id, false AS ok FROM h
+      UNION ALL SELECT g.source, h.r, CASE WHEN g.used + h.n_chars <= 8000 THEN g.used + h.n_chars ELSE g.used END, h.doc_id, g.used + h.n_chars <= 8000 FROM g JOIN h ON h.source = g.source AND h.r = g.r + 1)
+SELECT source, doc_id FROM g WHERE ok""")
 def budget_pack(spark: SparkSession, d: str) -> DataFrame:
-    """First fit over the first 12 documents under 4,000 characters of each source, as its SQL has it; not over all that fit the budget."""
-    top = planning.numbered(read(spark, d, "documents").where("n_chars < 4000").select("source", "doc_id", "n_chars"), [F.col("doc_id")], ["source"]).where("n < 12")
-    listed = top.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("n", "doc_id", "n_chars"))).alias("i"))
-    kept = retrieval.first_fit(F.col("i"), lambda x: x["n_chars"], 8000)
-    x = listed.select("source", kept.alias("k"))
-    return x.select("source", F.array_join(F.transform("k", lambda x: x["doc_id"].cast("string")), ",").alias("kept"), F.aggregate("k", F.lit(0).cast("long"), lambda a, x: a + x["n_chars"]).alias("used"))
+    """First fit of each source's documents, in order of their ids, to 8,000 characters."""
+    return retrieval.first_fit_rows(read(spark, d, "documents").select("source", "doc_id", "n_chars"), "source", "doc_id", "n_chars", 8000).select("source", "doc_id")
 
 
 # Conversations and models
@@ -449,7 +436,7 @@ def code_roll_up(spark: SparkSession, d: str) -> DataFrame:
     answers = read(spark, d, "documents").select(F.col("doc_id").cast("string").alias("id"), body.alias("answer"))
     found = F.array(F.struct(F.lit(2305).alias("code"), F.lit(1).alias("line"), F.lit("has no exported member 'gone'").alias("msg")), F.struct(F.lit(7006).alias("code"), F.lit(1).alias("line"), F.lit("implicitly any").alias("msg")))
     checked = code.snippets(answers).withColumn("diagnostics", F.when(F.contains("content", F.lit("gone")), found).otherwise(F.array().cast(found_type)))
-    out = code.roll_up(answers, checked)
+    out = code.roll_up(answers, checked, code.invented(r"'engine", "EngineProps", "Engine"))
     return out.select(F.col("id").cast("long").alias("doc_id"), F.size("hard").cast("long").alias("hard"), *big("soft", "checked"))
 
 
@@ -562,3 +549,6 @@ def first_seen_pairs(spark: SparkSession, d: str) -> DataFrame:
     """The first event of each user and type."""
     e = read(spark, d, "events").select("event_id", "user_id", "event_type")
     return e.groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))
+
+
+from . import catalog_curation  # noqa: E402, F401  registers the queries of the curation steps

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Fenced code, links, and hosts of examples. Fixed values.
 FENCE = r"```[\s\S]*?```"
 LINK = r"https?://[^\s)>\]\"'`]+"
 LOCAL = r"^https?://(localhost|127\.0\.0\.1|([a-z0-9-]+\.)*example\.[a-z]+)([:/]|\z)"
@@ -104,17 +105,26 @@ def links(text: Column) -> Column:
     return F.filter(F.transform(found, lambda x: F.regexp_replace(x, r"[.,;:]\z", "")), lambda x: ~F.regexp_like(x, F.lit(LOCAL)))
 
 
+#: A named import statement: default name, names in braces, module. Fixed value.
+IMPORT = r"import\s+(?:type\s+)?(?:(\w+)\s*,?\s*)?(?:\{([^}]*)\})?\s*from\s*['\"]([^'\"]+)['\"]"
+
+
 def imports(body: Column) -> Column:
-    """Array of (module, clause) of the import statements in code."""
-    rx = F.lit(r"import\s+(?:type\s+)?([\w*{}\s,$/]*?)\s*(?:from\s*)?[\"']([^\"']+)[\"']")
-    return F.transform(F.arrays_zip(F.regexp_extract_all(body, rx, F.lit(2)).alias("module"), F.regexp_extract_all(body, rx, F.lit(1)).alias("clause")), lambda x: F.struct(x["module"].alias("module"), x["clause"].alias("clause")))
+    """Array of (module, default, names) of the import statements in code; default and names may be empty."""
+    parts = {name: F.regexp_extract_all(body, F.lit(IMPORT), F.lit(i)) for name, i in (("module", 3), ("default", 1), ("names", 2))}
+    return F.transform(F.arrays_zip(*[c.alias(n) for n, c in parts.items()]), lambda x: F.struct(*[x[n].alias(n) for n in parts]))
+
 
+def imported_names(names: Column, comments: bool = True) -> Column:
+    """Names of an import clause, with or without its braces, without aliases and ``type``; comments are taken out first if asked for."""
+    inner = F.regexp_replace(names, r"^[^{}]*\{|\}[\s\S]*\z", "")
+    inner = F.regexp_replace(inner, r"//[^\n]*|/\*[\s\S]*?\*/", "") if comments else inner
+    each = F.transform(F.split(inner, ","), lambda n: F.trim(F.regexp_replace(F.regexp_replace(_bare(n), r"^type\s+", ""), r"\s+as\s+[\s\S]*", "")))
+    return F.filter(each, lambda n: n != "")
 
-def imported_names(clause: Column) -> Column:
-    """Names between the braces of an import clause, without aliases, ``type`` and comments."""
-    inner = F.regexp_replace(F.regexp_extract(clause, r"\{([^}]*)\}", 1), r"//[^\n]*|/\*[\s\S]*?\*/", "")
-    names = F.transform(F.split(inner, ","), lambda n: F.trim(F.regexp_replace(F.regexp_replace(F.trim(n), r"^type\s+", ""), r"\s+as\s+[\s\S]*", "")))
-    return F.filter(names, lambda n: n != "")
+
+def _bare(text: Column) -> Column:
+    return F.regexp_replace(text, r"^\s+|\s+\z", "")
 
 
 def members(body: Column, owner: str) -> Column:
@@ -123,9 +133,9 @@ def members(body: Column, owner: str) -> Column:
 
 
 def split_sections(text: Column, tag: str) -> Column:
-    """Map from the number n of ``=== tag n ===`` to the text up to the next such line."""
-    parts = F.split(text, rf"(?==== {tag} \d+ ===)")
-    rx = rf"^=== {tag} (\d+) ===\s*([\s\S]*?)\s*\z"
+    """Map from the number n of a line ``=====tag n=====`` (fixed format) to the text up to the next such line."""
+    parts = F.split(F.concat(F.lit("\n"), text), rf"(?=\n====={tag} \d+=====)")
+    rx = rf"^\n?====={tag} (\d+)=====[^\S\n]*\n\s*([\s\S]*?)\s*\z"
     entries = F.transform(F.filter(parts, lambda p: F.regexp_like(p, F.lit(rx))), lambda p: F.struct(F.regexp_extract(p, rx, 1).cast("int").alias("key"), F.regexp_extract(p, rx, 2).alias("value")))
     # of equal numbers the last counts
     fold = F.aggregate(entries, F.create_map().cast("map<int,string>"), lambda m, e: F.map_concat(F.map_filter(m, lambda k, v: k != e["key"]), F.create_map(e["key"], e["value"])))
@@ -146,16 +156,15 @@ def loose_json(text: Column) -> Column:
     return F.trim(F.get(ok, F.lit(0)))
 
 
-def sse_payload(text: Column) -> Column:
-    """The JSON of the last ``data:`` line of a server-sent stream."""
-    lines = F.filter(F.split(text, r"\r?\n"), lambda x: F.startswith(x, F.lit("data:")))
-    return F.trim(F.substring(F.try_element_at(lines, F.lit(-1)), 6, 1 << 30))
-
-
 def strip_ansi(text: Column) -> Column:
     return F.regexp_replace(text, "\u001b\\[[0-9;?]*[A-Za-z]", "")
 
 
+def strip_banner(text: Column, mark: str) -> Column:
+    """Without the lines above and with the last one that begins with ``mark``, a pattern of a tool's own banner."""
+    return F.regexp_replace(text, rf"(?sm)\A.*^(?:{mark})[^\n]*\n?", "")
+
+
 def decision(line: Column) -> Column:
     """``3 d reason``, ``4 i wording``, ``5 k`` -> (k, action, rest); nulls if malformed."""
     rx = r"^\s*(\d+)\s+([dik])\b\s*(.*?)\s*\z"
@@ -202,6 +211,16 @@ def key_signature(json: Column) -> Column:
     return F.array_join(F.array_sort(F.json_object_keys(json)), ",")
 
 
+def iso_time(at: Column) -> Column:
+    """A time in UTC as ISO 8601 with milliseconds; the session's zone has to be UTC."""
+    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+
+def option_list(value: Column) -> Column:
+    """Entries of a comma-separated option, without white space around and empty ones."""
+    return F.filter(F.transform(F.split(value, ","), lambda x: F.trim(x)), lambda x: x != "")
+
+
 def rotate(items: Column, i: Column) -> Column:
     n = F.size(items)
     k = F.pmod(i, n)

@@ -3,85 +3,170 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import text as T
+from ..functions.shingles import shingle_table
 from ..plans.tables import materialize
 
 
 def shingle_classes(rows: DataFrame, id_col: str, text_col: str, width: int = 3) -> DataFrame:
-    """(id, rep, shingles): rows with equal shingle sets have one representative, the smallest id."""
-    s = rows.select(F.col(id_col).alias("id"), F.array_sort(T.shingles(F.col(text_col), width)).alias("shingles"))
-    reps = s.groupBy("shingles").agg(F.min("id").alias("rep"))
-    return s.join(reps, "shingles").select("id", "rep", "shingles")
+    """(id, rep, n): rows with equal sets of shingles have one representative, the smallest id; n is the set's size.
+
+    Texts under ``width`` words have the empty set. Null ids are never smaller than others; repeated rows come back as they are.
+    """
+    s = materialize(shingle_table(rows, id_col, text_col, width).select("id", "digest", F.size("own").alias("n")), "shingle-digests")
+    reps = s.groupBy("digest").agg(F.min("id").alias("rep"))
+    return s.join(reps, "digest").select("id", "rep", "n")
 
 
 def shingle_sets(rows: DataFrame, id_col: str, text_col: str, width: int = 3) -> DataFrame:
-    """(rep, shingles): the distinct shingle sets, each with the smallest id that has it."""
-    s = rows.select(F.col(id_col).alias("id"), F.array_sort(T.shingles(F.col(text_col), width)).alias("shingles"))
-    return s.groupBy("shingles").agg(F.min("id").alias("rep")).select("rep", "shingles")
+    """(rep, own): the distinct sets of shingles as arrays of hashes, each with the smallest id that has it."""
+    s = materialize(shingle_table(rows, id_col, text_col, width), "shingle-table")
+    reps = s.groupBy("digest").agg(F.min("id").alias("id"))
+    return s.join(reps, ["digest", "id"], "left_semi").dropDuplicates(["digest"]).select(F.col("id").alias("rep"), "own")
 
 
 def jaccard_pairs(sets: DataFrame, threshold: float = 0.7, least: int = 4) -> DataFrame:
-    """(a, b, jaccard), a < b, of distinct sets (rep, shingles) with ``least`` shingles or more and a similarity above the threshold.
+    """(a, b, jaccard), a < b, of distinct sets (rep, own) with ``least`` shingles or more and a similarity above the threshold.
 
-    Exact by prefix filtering: sets that similar share one of their rarest few shingles, so only those are joined; common
-    shingles are in no prefix. Candidates are verified on whole sets.
+    Exact by prefix filtering: sets that similar share one of their rarest few shingles, so only those are joined. A shingle of one set
+    alone is rarer than all others and joins nothing, so most sets have no prefix left once those are counted. Candidates are verified
+    on whole sets.
     """
-    sets = materialize(sets.where(F.size("shingles") >= least).select("rep", "shingles"), "shingle-sets")
-    each = sets.select("rep", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
-    df = each.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
-    ranked = each.join(df, "s").withColumn("k", F.row_number().over(Window.partitionBy("rep").orderBy("df", "s")))
+    sets = materialize(sets.where(F.size("own") >= least).select("rep", "own"), "shingle-sets")
+    each = sets.select("rep", F.explode("own").alias("s"))
+    shared = materialize(each.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shingle-shared")
+    mine = each.join(shared, "s").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("hot"))
+    size = sets.select("rep", F.size("own").alias("n"))
     # with jaccard above t the common shingles are at least ceil(t n), so n - ceil(t n) + 1 of the rarest must meet one of the other's
-    prefix = materialize(ranked.where(F.col("k") <= F.col("n") - F.ceil(F.col("n") * F.lit(threshold)) + 1).select("rep", "n", "s"), "shingle-prefixes")
+    rank = (F.col("n") - F.ceil(F.col("n") * F.lit(threshold)) + 1 - (F.col("n") - F.size("hot"))).cast("int")
+    prefix = mine.join(size, "rep").withColumn("k", rank).where("k > 0").select("rep", "n", F.explode(F.slice("hot", F.lit(1), F.col("k"))).alias("p")).select("rep", "n", "p.s")
+    prefix = materialize(prefix, "shingle-prefixes")
     l, r = prefix.select(F.col("rep").alias("a"), F.col("n").alias("na"), "s"), prefix.select(F.col("rep").alias("b"), F.col("n").alias("nb"), "s")
     near = (F.col("a") < F.col("b")) & (F.least("na", "nb") > F.greatest("na", "nb") * F.lit(threshold))
     pairs = l.join(r, "s").where(near).select("a", "b").distinct()
-    both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    return both.select("a", "b", (common / (F.size("sa") + F.size("sb") - common)).alias("jaccard")).where(F.col("jaccard") > threshold)
+    both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("own").alias("oa")), "a").join(sets.select(F.col("rep").alias("b"), F.col("own").alias("ob")), "b")
+    common = F.size(F.array_intersect("oa", "ob"))
+    return both.select("a", "b", (common / (F.size("oa") + F.size("ob") - common)).alias("jaccard")).where(F.col("jaccard") > threshold)
+
+
+#: Vectors that live in one part of a cell; a larger cell has more parts.
+PART = 4096
 
 
-def cosine_pairs(vectors: DataFrame, threshold: float, id_col: str = "id", vector_col: str = "vector", pivots: int = 32) -> DataFrame:
+def cosine_pairs(vectors: DataFrame, threshold: float, id_col: str = "id", vector_col: str = "vector", pivots: int | None = None, part: int = PART) -> DataFrame:
     """(a, b, cosine), a < b, of all vectors with a cosine above the threshold.
 
     Exact by pivots: each vector lives with its nearest pivot, and visits every pivot that is at most twice the threshold's angle farther; by
-    the triangle inequality any pair meets where one of both lives. The pivots are a bounded sample and only steer the work.
+    the triangle inequality any pair meets where one of both lives. The pivots, a bounded sample, only steer the work; there are more of them for
+    more vectors. A cell's inhabitants are dealt out over parts of ``part`` vectors, each a task's block that the visitors stream past as matrix
+    products. Zero vectors and those with nulls are near nothing; ids are unique.
     """
-    v = materialize(vectors.select(F.col(id_col).alias("id"), T.unit(F.col(vector_col)).alias("v")).where(~F.exists("v", F.isnull)), "unit-vectors")
+    spark = vectors.sparkSession
+    v = vectors.select(F.col(id_col).alias("id"), T.unit(F.col(vector_col)).alias("v"))
+    v = materialize(v.where(F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull() | F.isnan(x))), "unit-vectors")
+    kind = v.schema["id"].dataType
+    n = v.count()
+    pivots = pivots or min(1024, max(32, math.isqrt(n)))
     heads = [r[0] for r in v.orderBy(F.xxhash64("id"), "id").limit(pivots).select("v").collect()]
+    schema = f"a {kind.simpleString()}, b {kind.simpleString()}, cosine double"
     if not heads:
-        return v.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("cosine")).limit(0)
-    table = F.array(*[F.array(*[F.lit(x) for x in h]) for h in heads])
-    angles = F.transform(table, lambda p: F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), T.dot(p, F.col("v"))))))
-    placed = materialize(v.withColumn("d", angles), "pivot-angles")
-    home = (F.array_position("d", F.array_min("d")) - 1).cast("int")
+        return spark.createDataFrame([], schema)
+    table = spark.sparkContext.broadcast(np.array(heads).T)
     reach = 2 * math.acos(max(-1.0, min(1.0, threshold))) + 1e-9
-    placed = placed.withColumn("home", home)
-    visits = placed.select("id", "v", F.col("home").alias("h"), F.posexplode("d").alias("p", "x"), F.array_min("d").alias("m")).where(F.col("x") <= F.col("m") + reach)
-    inner = placed.select(F.col("id").alias("i"), F.col("v").alias("vi"), F.col("home").alias("p"))
-    # a pair that lives together meets once; one that doesn't may meet in both homes, and counts where the smaller id lives
-    meet = inner.join(visits, "p").where(((F.col("h") == F.col("p")) & (F.col("i") < F.col("id"))) | ((F.col("h") != F.col("p")) & (F.col("i") < F.col("id"))))
-    other = inner.join(visits, "p").where((F.col("h") != F.col("p")) & (F.col("i") > F.col("id")))
-    cos = T.dot(F.col("vi"), F.col("v"))
-    found = meet.select(F.col("i").alias("a"), F.col("id").alias("b"), cos.alias("cosine")).unionByName(other.select(F.col("id").alias("a"), F.col("i").alias("b"), cos.alias("cosine")))
-    return found.where(F.col("cosine") > threshold).dropDuplicates(["a", "b"])
-
-
-def greedy(nodes: DataFrame, pairs: DataFrame, id_col: str = "id", rank_col: str = "rank", max_rounds: int = 1000) -> DataFrame:
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                b = whole.slice(at, 256)
+                angle = np.arccos(np.clip(_matrix(b.column(1)) @ table.value, -1.0, 1.0))
+                home = angle.argmin(1)
+                row, cell = np.nonzero(angle <= angle.min(1)[:, None] + reach)
+                take = pa.array(row)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(cell.astype(np.int32)), pa.array(home[row] == cell)], names=["id", "v", "cell", "lives"])
+
+    seen = materialize(v.mapInArrow(place, f"id {kind.simpleString()}, v array<double>, cell int, lives boolean"), "pivot-visits")
+    parts = seen.where("lives").groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("parts"))
+    dealt = seen.join(F.broadcast(parts), "cell")  # a row per pivot at most
+    own = dealt.where("lives").select("cell", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.lit(0).alias("role"), "id", "v", "lives")
+    # who lives in the cell visits its other inhabitants too
+    guest = dealt.select("cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("role"), "id", "v", "lives")
+    size = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
+    met = own.unionByName(guest).repartition(size, "cell", "part").sortWithinPartitions("cell", "part", "role")
+    found = met.mapInArrow(_meet(threshold, to_arrow_type(kind)), schema)
+    return found.dropDuplicates(["a", "b"])
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.asarray(column.flatten()).reshape(len(column), -1)
+
+
+def _meet(threshold: float, kind: pa.DataType):
+    """Rows by cell and part, inhabitants before visitors: pairs of an inhabitant and a visitor of another id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ids, block = None, [], None
+        for whole in batches:
+            if not whole.num_rows:
+                continue
+            cell, part, role = (whole.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            cuts = np.flatnonzero((cell[1:] != cell[:-1]) | (part[1:] != part[:-1]) | (role[1:] != role[:-1])) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(cell)]):
+                b = whole.slice(lo, hi - lo)
+                key = (cell[lo], part[lo])
+                if key != now:
+                    now, ids, block = key, [], None
+                m = _matrix(b.column(4))
+                if role[lo] == 0:
+                    ids += b.column(3).to_pylist()
+                    block = m if block is None else np.concatenate([block, m])
+                    continue
+                if block is None:
+                    continue
+                other = b.column(3).to_pylist()
+                a, c, cos = [], [], []
+                for at in range(0, len(m), 512):
+                    score = m[at : at + 512] @ block.T
+                    i, j = np.nonzero(score > threshold)
+                    for x, y, s in zip(i.tolist(), j.tolist(), score[i, j].tolist()):
+                        g, h = other[at + x], ids[y]
+                        if g != h:
+                            a.append(min(g, h))
+                            c.append(max(g, h))
+                            cos.append(s)
+                yield pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(c, kind), pa.array(cos, pa.float64())], names=["a", "b", "cosine"])
+
+    return run
+
+
+#: Rounds of the parallel pass; what is left then, if bounded, is finished in order by one task.
+ROUNDS, FINISH = 12, 1_000_000
+
+
+def greedy(nodes: DataFrame, pairs: DataFrame, id_col: str = "id", rank_col: str = "rank", rounds: int = ROUNDS, finish: int = FINISH) -> DataFrame:
     """Nodes (id, rank) that a pass in order of rank keeps, each unless a kept one is its neighbour; ranks are unique.
 
     In rounds: a node all of whose smaller-ranked neighbours are gone stays, and its neighbours go. Each round is two joins over what is left,
-    written to the shared folder; the result is that of the sequential pass.
+    written to the shared folder; the result is that of the sequential pass. Long chains of neighbours would take a round for every other node, so after
+    ``rounds`` of them what is left is finished in order by one task, which streams the links and holds a set of ids, once there are ``finish`` links or fewer.
     """
     left = materialize(nodes.select(F.col(id_col).alias("id"), F.col(rank_col).alias("rank")), "greedy-left")
     e = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     r = left.select(F.col("id").alias("b"), F.col("rank").alias("rb"))
     edges = materialize(e.join(left.select(F.col("id").alias("a"), F.col("rank").alias("ra")), "a").join(r, "b").select("a", "ra", "b", "rb"), "greedy-links")
-    kept = []
-    for _ in range(max_rounds):
+    kept, turn = [], 0
+    while True:
+        turn += 1
+        if turn > rounds and edges.count() <= finish:
+            kept.append(_in_order(left, edges))
+            break
         blocked = edges.where("rb < ra").select(F.col("a").alias("id")).distinct()
         stay = materialize(left.join(blocked, "id", "left_anti"), "greedy-kept")
         kept.append(stay)
@@ -90,14 +175,32 @@ def greedy(nodes: DataFrame, pairs: DataFrame, id_col: str = "id", rank_col: str
         if left.isEmpty():
             break
         edges = materialize(edges.join(left.select(F.col("id").alias("a")), "a", "left_semi").join(left.select(F.col("id").alias("b")), "b", "left_semi").select("a", "ra", "b", "rb"), "greedy-links")
-    else:
-        raise RuntimeError(f"greedy acceptance did not end in {max_rounds} rounds")
     out = kept[0]
     for part in kept[1:]:
         out = out.unionByName(part)
     return out
 
 
+def _in_order(left: DataFrame, edges: DataFrame) -> DataFrame:
+    """The pass itself over nodes and their smaller-ranked neighbours, a row after another."""
+    lower = edges.where("rb < ra").groupBy("a").agg(F.collect_list("b").alias("near"))
+    rows = left.join(lower, left.id == lower.a, "left").select("id", "rank", "near").repartition(1).sortWithinPartitions("rank")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stay: set = set()
+        for b in batches:
+            keep = []
+            for i, near in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
+                ok = not near or stay.isdisjoint(near)
+                keep.append(ok)
+                if ok:
+                    stay.add(i)
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in b.columns[:2]], names=["id", "rank"])
+
+    kinds = {f.name: f.dataType.simpleString() for f in left.schema}
+    return materialize(rows.mapInArrow(run, f"id {kinds['id']}, rank {kinds['rank']}"), "greedy-kept")
+
+
 def recheck(rejected: DataFrame, kept: DataFrame, threshold: float = 0.86, id_col: str = "id", vector_col: str = "vector", rank_col: str = "rank") -> DataFrame:
     """Rejected vectors that are near no kept one, then greedily no two of them near each other; ids of the two tables differ."""
     both = rejected.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector")).unionByName(kept.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector")))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import js_round
+from ..plans.tables import materialize
 
 #: Area rules in order: (pattern on the path, area, weight). Fixed values.
 AREA_RULES = [
@@ -50,34 +51,31 @@ def allocate(pages: DataFrame, total: int = 6200, share: float = 0.9, weight: st
     return pages.join(F.broadcast(whole)).withColumn("quota", F.when(F.col(chunks) > 0, F.greatest(F.lit(1).cast("long"), share_of)).otherwise(F.lit(0).cast("long"))).drop("_w")
 
 
-def topic_quota(total: Column, topics: Column, extra: int = 0) -> Column:
+def topic_quota(total: Column, topics: Column, extra: float = 0) -> Column:
     """round(max(2, round(a tenth of the total over the topics)) times (1 + extra))."""
     return js_round(F.greatest(F.lit(2).cast("long"), js_round(js_round(total * F.lit(0.1)) / topics)) * F.lit(1.0 + extra))
 
 
 def numbered(df: DataFrame, order: list, by: list[str] | None = None, name: str = "n") -> DataFrame:
-    """Numbers rows from 0 in order, within groups if ``by`` is given.
+    """Adds ``name``: numbers rows from 0 in order, within groups if ``by`` is given; a null is a group too. A column of that name is replaced.
 
     Each range-partitioned part counts its own rows and adds those of the parts before, so no single task sorts
     everything, nor a whole group, however large.
     """
     by = by or []
-    cols = df.columns
     ranged = df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
-    at = ranged.withColumn("_m", F.monotonically_increasing_id())
-    at = at.withColumn("_p", F.shiftright("_m", 33)).withColumn("_i", F.col("_m").bitwiseAND((1 << 33) - 1))
-    from ..plans.tables import materialize
-
-    at = materialize(at, "numbered")
-    groups = [F.col(c).alias(f"_g{i}") for i, c in enumerate(by)]
-    sizes = at.groupBy(F.col("_p").alias("_q"), *groups).agg(F.count(F.lit(1)).alias("_c"), F.min("_i").alias("_f"))
-    over = Window.partitionBy(*[f"_g{i}" for i in range(len(by))]).orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select("_q", *[f"_g{i}" for i in range(len(by))], "_f", F.coalesce(F.sum("_c").over(over), F.lit(0)).alias("_b"))
-    same = F.col("_p") == F.col("_q")
-    for i, c in enumerate(by):
-        same &= F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    at = ranged.select(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != name or c in by]).alias("r"), F.monotonically_increasing_id().alias("m"))
+    at = materialize(at.select("r", F.shiftright("m", 33).alias("p"), F.col("m").bitwiseAND((1 << 33) - 1).alias("i")), "numbered")
+    groups = [F.col(f"r.`{c}`").alias(f"g{k}") for k, c in enumerate(by)]
+    own = [f"g{k}" for k in range(len(by))]
+    sizes = at.groupBy(F.col("p").alias("q"), *groups).agg(F.count(F.lit(1)).alias("c"), F.min("i").alias("f"))
+    over = Window.partitionBy(*own).orderBy("q").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("q", *own, "f", F.coalesce(F.sum("c").over(over), F.lit(0)).alias("b"))
+    same = F.col("p") == F.col("q")
+    for k, c in enumerate(by):
+        same &= F.col(f"r.`{c}`").eqNullSafe(F.col(f"g{k}"))
     # one row per part without groups; with them their number isn't bounded
-    return at.join(before if by else F.broadcast(before), same).select(*cols, (F.col("_b") + F.col("_i") - F.col("_f")).alias(name))
+    return at.join(before if by else F.broadcast(before), same).select("r.*", (F.col("b") + F.col("i") - F.col("f")).alias(name))
 
 
 def batches(df: DataFrame, size: int, order: list, by: list[str] | None = None) -> DataFrame:
@@ -104,8 +102,19 @@ def text_windows(df: DataFrame, text: str, size: int = 9000) -> DataFrame:
     return df.withColumn("window", F.explode(F.sequence(F.lit(0), count - 1))).withColumn("part", F.substring(F.col(text), F.col("window") * size + 1, F.lit(size)))
 
 
-def jobs(df: DataFrame, quota: str = "quota", done: str = "done", per_call: int = 6) -> DataFrame:
-    """A row per call still to make: batch from ceil(done / per_call) on, n = min(per_call, what is left)."""
+def in_areas(df: DataFrame, areas: list[str] | None = None, area: str = "area") -> DataFrame:
+    """Rows of the areas asked for; all if none is."""
+    return df if areas is None else df.where(F.col(area).isin(areas))
+
+
+def chunk_counts(pages: DataFrame, chunks: DataFrame, url: str = "url") -> DataFrame:
+    """Pages with the number of their chunks, 0 without any."""
+    return pages.join(chunks.groupBy(url).agg(F.count(F.lit(1)).alias("chunks")), url, "left").withColumn("chunks", F.coalesce("chunks", F.lit(0).cast("long")))
+
+
+def jobs(df: DataFrame, quota: str = "quota", done: str = "done", per_call: int = 6, areas: list[str] | None = None) -> DataFrame:
+    """A row per call still to make: batch from ceil(done / per_call) on, n = min(per_call, what is left); of some areas only if asked for."""
+    df = in_areas(df, areas)
     left = F.col(quota) - F.col(done)
     first = F.ceil(F.col(done) / per_call)
     calls = F.ceil(left / per_call)

@@ -7,15 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from .planning import batches, numbered
-from .selection import distributions
+from .selection import distributions, pooled
 from .state import eligible, outstanding
 
 
-def pooled(area: Column, pool: str = "spec") -> Column:
-    """The area, those of a pool (``pool:...``) as one."""
-    return F.when(F.startswith(area, F.lit(f"{pool}:")), F.lit(pool)).otherwise(area)
-
-
 def dataset_rows(taken: DataFrame) -> DataFrame:
     """(id, messages): question and answer as two turns."""
     turn = lambda role, c: F.struct(F.lit(role).alias("role"), F.col(c).alias("content"))
@@ -40,20 +35,22 @@ def final_order(taken: DataFrame) -> DataFrame:
     return taken.orderBy(F.collate(F.concat("area", F.col("id").cast("string")), "UNICODE"), "id")
 
 
-def metadata(taken: DataFrame, tokens_a_word: float = 1.4) -> DataFrame:
-    """One row: examples, words, tokens, and the distributions of difficulty, type, area, judge and verdict as maps."""
+def metadata(taken: DataFrame, tokens_a_word: float = 1.4, created: Column | None = None) -> DataFrame:
+    """One row: examples, words, tokens, the time of ``created`` (now, if asked for as ``F.current_timestamp()``), and the distributions of
+    difficulty, type, area, judge and verdict as maps."""
     keys = ["difficulty", "type", "area", "judge", "verdict"]
     counts = taken.agg(F.count(F.lit(1)).alias("examples"), F.coalesce(F.sum(T.word_count(F.concat_ws(" ", "question", "answer"))), F.lit(0)).cast("long").alias("words"))
     by = distributions(taken.withColumn("area", pooled(F.col("area"))), keys)
     maps = by.agg(*[F.map_from_entries(F.array_sort(F.collect_list(F.when((F.col("key") == k) & F.col("value").isNotNull(), F.struct("value", "n"))))).alias(k) for k in keys])
-    return counts.join(maps, F.lit(True), "left").withColumn("tokens", T.js_round(F.col("words") * F.lit(tokens_a_word)))
+    out = counts.join(maps, F.lit(True), "left").withColumn("tokens", T.js_round(F.col("words") * F.lit(tokens_a_word)))
+    return out if created is None else out.withColumn("created", T.iso_time(created))
 
 
 def write_release(taken: DataFrame, meta: DataFrame, path: str) -> None:
     """dataset, dataset.meta and metadata under ``path``, as JSON lines, each a new version of what is there."""
     dataset_rows(final_order(taken)).write.mode("overwrite").json(f"{path}/dataset")
     meta.write.mode("overwrite").json(f"{path}/dataset.meta")
-    metadata(taken).write.mode("overwrite").json(f"{path}/metadata")
+    metadata(taken, created=F.current_timestamp()).write.mode("overwrite").json(f"{path}/metadata")
 
 
 def judge_work(answers: DataFrame, judged: DataFrame, kept: DataFrame, checks: DataFrame, code: DataFrame, local: str | None = None) -> DataFrame:
@@ -72,6 +69,21 @@ def judge_batches(work: DataFrame, size: int = 8, order: list | None = None, loc
     return batches(w, size, order or [F.col("id")], ["model"]).withColumn("turn", F.startswith("model", F.lit(local)).cast("int"))
 
 
+def take(work: DataFrame, order: list, limit: int | None = None, reverse: bool = False) -> DataFrame:
+    """The first ``limit`` rows of a work list in order, or in reverse order; all of them without a limit."""
+    ends = [_reversed(c) for c in order] if reverse else order
+    return work.orderBy(*ends) if limit is None else work.orderBy(*ends).limit(limit)
+
+
+def _reversed(c) -> Column:
+    return F.desc(c) if isinstance(c, str) else c.desc()
+
+
+def still_open(rows: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
+    """Rows to be written whose key is not among ``done``, read anew just before the write: what others wrote meanwhile stays, one row per key."""
+    return outstanding(rows, done, key).dropDuplicates([key])
+
+
 def judge_for(writer: Column, judges: list[str]) -> Column:
     """The first judge that is not the writer, row by row; null if there is none."""
     return F.get(F.filter(F.array(*[F.lit(j) for j in judges]), lambda j: ~j.eqNullSafe(writer)), F.lit(0))

@@ -5,25 +5,41 @@ from __future__ import annotations
 from bisect import insort
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import text as T
+from ..functions.shingles import shingle_hashes, shingle_table
+from ..plans.tables import bounded_batches
 
-MOST_QUERIES = 20_000
+#: Queries that one pass over the texts asks, as each task holds the best texts of all of them.
+QUERIES_AT_ONCE = 20_000
 
 
 def top_overlap(queries: DataFrame, corpus: DataFrame, k: int, query_id: str = "query_id", query_text: str = "query_text", key: str = "key", content: str = "content") -> DataFrame:
     """For each query the ``k`` texts that contain most of its words, ties by key: (query_id, key, hits, rank), texts without any aside.
 
-    The queries are a bounded table, checked and sent to all tasks, so the texts are read once and never shuffled. One automaton finds the words
-    of all queries in a pass over a text; each task sends on its own best ``k`` per query, among which those of all tasks are.
+    The queries are asked in blocks of ``QUERIES_AT_ONCE``, broadcast to all tasks, so the texts are read once a block and never shuffled. One automaton finds
+    the words of a block's queries in a pass over a text; each task sends on its own best ``k`` per query, among which those of all tasks are. Texts
+    without a key are no candidates; null texts contain nothing; a query without words has no hits.
     """
-    if queries.count() > MOST_QUERIES:
-        raise ValueError(f"more than {MOST_QUERIES} queries: ask in blocks, as each task holds the best texts of all")
-    asked = queries.select(F.col(query_id), T.query_words(F.col(query_text))).collect()
+    asked = queries.select(F.col(query_id).alias("query_id"), T.query_words(F.coalesce(F.col(query_text), F.lit(""))).alias("words"))
+    found, block = None, []
+    for r in asked.toLocalIterator():
+        block.append((r[0], r[1]))
+        if len(block) == QUERIES_AT_ONCE:
+            part = _best(block, queries, corpus, k, query_id, key, content)
+            found, block = part if found is None else found.unionByName(part), []
+    if block or found is None:
+        part = _best(block, queries, corpus, k, query_id, key, content)
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def _best(asked: list[tuple], queries: DataFrame, corpus: DataFrame, k: int, query_id: str, key: str, content: str) -> DataFrame:
     ids = [r[0] for r in asked]
     of_word: dict[str, list[int]] = {}
     for i, r in enumerate(asked):
@@ -73,6 +89,32 @@ def first_fit(items: Column, size, budget: int) -> Column:
     return F.aggregate(items, zero, step, lambda a: a["kept"])
 
 
+def first_fit_rows(items: DataFrame, by: str, order: str, size: str, budget: int) -> DataFrame:
+    """The rows of each group that fit its budget, taken in order: one that would overflow is passed over, and so on to the last.
+
+    No group is gathered: of a group's rows, only those that fit the budget by themselves are sorted and streamed past a running sum, a batch at a time. Rows
+    without a size or a group are left out; order is unique within a group; repeated columns come back as they are.
+    """
+    spark = items.sparkSession
+    bounded_batches(spark)
+    fit = items.where(F.col(by).isNotNull() & (F.col(size) <= budget))
+    g, n = fit.columns.index(by), fit.columns.index(size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, used = None, 0
+        for b in batches:
+            keep = []
+            for group, x in zip(b.column(g).to_pylist(), b.column(n).to_pylist()):
+                if group != now:
+                    now, used = group, 0
+                keep.append(used + x <= budget)
+                used += x if keep[-1] else 0
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return fit.repartition(parts, by).sortWithinPartitions(by, order).mapInArrow(run, fit.schema)
+
+
 def context(hits: DataFrame, budget: int = 8000, prefix: int = 120) -> DataFrame:
     """(query_id, prio, rank, key, content) -> (query_id, keys, context): by prio and rank, one per content prefix, first fit.
 
@@ -83,3 +125,101 @@ def context(hits: DataFrame, budget: int = 8000, prefix: int = 120) -> DataFrame
     listed = h.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("prio", "rank", "key", "content"))).alias("_i"))
     packed = first_fit(F.col("_i"), lambda x: F.length(x["content"]).cast("long"), budget)
     return listed.select("query_id", F.transform(packed, lambda x: x["key"]).alias("keys"), F.array_join(F.transform(packed, lambda x: x["content"]), "\n\n").alias("context"))
+
+
+def page_chunks(questions: DataFrame, chunks: DataFrame, k: int = 2) -> DataFrame:
+    """(id, rank, url, content) of the ``k`` chunks of a question's own source page that contain most of its words; of equal ones the earlier.
+
+    Questions have id, question, source_key and source_kind (only those from docs have a page), chunks url, seq and content.
+    """
+    q = questions.where("source_kind = 'docs'").select("id", T.query_words(F.col("question")).alias("_w"), F.col("source_key").alias("url"))
+    met = q.join(chunks.select("url", "seq", "content"), "url").select("id", "url", "seq", "content", T.overlap(F.col("_w"), F.col("content")).alias("hits"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("hits"), "seq"))
+    return met.withColumn("rank", rank).where(F.col("rank") <= k).select("id", "rank", "url", "content")
+
+
+def topic_items(questions: DataFrame, topics: DataFrame, size: int = 2500) -> DataFrame:
+    """(id, url, title, content) of the topic that a question is from: the beginning of its text without front matter."""
+    t = topics.select(F.col("url").alias("source_key"), "title", F.left(T.strip_front_matter(F.col("content")), F.lit(size)).alias("content"))
+    return questions.select("id", "source_key").join(t, "source_key").select("id", F.col("source_key").alias("url"), "title", "content")
+
+
+def question_hits(questions: DataFrame, hits: DataFrame, k: int = 4) -> DataFrame:
+    """The best ``k`` hits of each query of a question, those of its own wording first: hits have id, query (0 for the wording, then the further ones), rank, url, content."""
+    return hits.where(F.col("rank") <= k).join(questions.select("id"), "id", "left_semi").select("id", "query", "rank", "url", "content")
+
+
+def context_for(questions: DataFrame, hits: DataFrame, chunks: DataFrame, topics: DataFrame, budget: int = 8000, chunks_of_page: int = 2, prefix: int = 120, head: str = "Topic: ") -> DataFrame:
+    """(id, items, links): the context of each question, as an array of (url, content), and its distinct links in order.
+
+    The topic comes first and always, its title not counted; then the hits of all queries, then chunks of the source page, each
+    unless an item with the same beginning is in already or it would overflow the budget. A question's items are a bounded list, so an array holds them.
+    """
+    own = page_chunks(questions, chunks, chunks_of_page).select("id", F.lit(1 << 30).alias("query"), "rank", "url", "content")
+    listed = question_hits(questions, hits).unionByName(own).select("id", F.col("query").cast("int").alias("query"), F.col("rank").cast("int").alias("rank"), "url", "content")
+    arrays = listed.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("query", "rank", "url", "content"))).alias("_i"))
+    first = topic_items(questions, topics).select("id", F.struct("url", F.concat(F.lit(head), "title", F.lit("\n"), "content").alias("content")).alias("_t"), F.length("content").cast("long").alias("_n"))
+    x = questions.select("id").join(arrays, "id", "left").join(first, "id", "left")
+    kind = "array<struct<url:string,content:string>>"
+    zero = F.struct(F.coalesce("_n", F.lit(0).cast("long")).alias("used"), F.array().cast("array<string>").alias("seen"), F.when(F.col("_t").isNotNull(), F.array("_t")).otherwise(F.array().cast(kind)).cast(kind).alias("kept"))
+
+    def step(acc: Column, i: Column) -> Column:
+        start, used = F.left(i["content"], F.lit(prefix)), acc["used"] + F.length(i["content"])
+        ok = ~F.array_contains(acc["seen"], start) & (used <= budget)
+        item = F.array(F.struct(i["url"].alias("url"), i["content"].alias("content")))
+        return F.struct(F.when(ok, used).otherwise(acc["used"]).alias("used"), F.when(ok, F.concat(acc["seen"], F.array(start))).otherwise(acc["seen"]).alias("seen"), F.when(ok, F.concat(acc["kept"], item)).otherwise(acc["kept"]).alias("kept"))
+
+    none = F.array().cast("array<struct<query:int,rank:int,url:string,content:string>>")
+    packed = x.select("id", F.aggregate(F.coalesce("_i", none), zero, step, lambda a: a["kept"]).alias("items"))
+    return packed.select("id", "items", F.array_distinct(F.transform("items", lambda i: i["url"])).alias("links"))
+
+
+def held_shares(docs: DataFrame, items: DataFrame, share: float = 0.5, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = 3, block: int = 1_000_000) -> DataFrame:
+    """(doc_id, item_id, share) of the texts that hold ``share`` of an item's distinct shingles or more.
+
+    The items' shingles are asked in blocks of ``block`` at most (or one longer item), broadcast; the texts are read once a block and send on nothing but hits.
+    Items and texts under ``width`` words have no shingles; null and repeated ids come back as they are.
+    """
+    bounded_batches(docs.sparkSession)
+    kinds = docs.schema[doc_id].dataType, items.schema[item_id].dataType
+    schema = f"doc_id {kinds[0].simpleString()}, item_id {kinds[1].simpleString()}, share double"
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).cast("string").alias("text"))
+    out, part, held = None, [], 0
+    for r in shingle_table(items, item_id, item_text, width).select("id", "own").toLocalIterator():
+        if part and held + len(r[1]) > block:
+            out = _union(out, texts.mapInArrow(_holds(texts, part, share, width, to_arrow_type(kinds[1])), schema))
+            part, held = [], 0
+        part.append((r[0], r[1]))
+        held += len(r[1])
+    if part:
+        out = _union(out, texts.mapInArrow(_holds(texts, part, share, width, to_arrow_type(kinds[1])), schema))
+    return docs.sparkSession.createDataFrame([], schema) if out is None else out
+
+
+def _union(a: DataFrame | None, b: DataFrame) -> DataFrame:
+    return b if a is None else a.unionByName(b)
+
+
+def _holds(texts: DataFrame, part: list[tuple], share: float, width: int, kind: pa.DataType):
+    ids, size = [i for i, _ in part], np.array([len(s) for _, s in part])
+    every = np.concatenate([np.array(s, np.int64) for _, s in part])
+    order = np.argsort(every, kind="stable")
+    shared = texts.sparkSession.sparkContext.broadcast((ids, size, every[order], np.repeat(np.arange(len(part)), size)[order]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, size, known, owner = shared.value
+        for b in batches:
+            row, item, found = [], [], []
+            for i, t in enumerate(b.column(1)):
+                own = shingle_hashes(t.as_py(), width)
+                lo, hi = np.searchsorted(known, own), np.searchsorted(known, own, "right")
+                hit = np.flatnonzero(hi > lo)
+                if len(hit):
+                    count = np.bincount(np.concatenate([owner[lo[k] : hi[k]] for k in hit]), minlength=len(ids))
+                    for j in np.flatnonzero((count > 0) & (count >= share * size)).tolist():
+                        row.append(i)
+                        item.append(ids[j])
+                        found.append(count[j] / size[j])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row, pa.int64())), pa.array(item, kind), pa.array(found, pa.float64())], names=["doc_id", "item_id", "share"])
+
+    return run

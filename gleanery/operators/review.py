@@ -9,7 +9,7 @@ from ..functions import text as T
 from .planning import batches
 from .state import improved
 
-#: Kinds and levels of questions. Fixed values.
+#: Kinds and levels of questions, and words by which a question points at its source. Fixed values.
 TYPES = ["how-to", "concept", "distinction", "debugging", "configuration", "migration", "when-not-to", "architecture", "edge-case"]
 LEVELS = ["foundational", "intermediate", "advanced", "expert"]
 SELF_REFERENCE = r"(?i)\b(the|this) (source|page|excerpt|documentation above)\b"
@@ -36,6 +36,34 @@ def prompts(items: DataFrame, head: str, line: Column, size: int, order: list, b
     return b.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"), F.concat(F.lit(head + "\n"), F.array_join(lines, "\n")).alias("prompt"))
 
 
+def question_prompt(source: Column, prior: Column, n: Column, about: Column | None = None) -> Column:
+    """What a generator is asked: its source, what was asked of it before (an array), and how many questions are wanted; ``about`` narrows them."""
+    before = F.when(F.size(prior) > 0, F.concat(F.lit("Asked before, to be neither repeated nor reworded:\n"), F.array_join(F.transform(prior, lambda q: F.concat(F.lit("* "), q)), "\n"), F.lit("\n\n"))).otherwise("")
+    more = F.lit("") if about is None else F.when(F.coalesce(about, F.lit("")) != "", F.concat(about, F.lit("\n"))).otherwise("")
+    return F.concat(F.lit("Text:\n"), F.coalesce(source, F.lit("")), F.lit("\n\n"), before, more, F.lit("Ask "), n.cast("string"), F.lit(" questions of different types and levels that this text answers, as a JSON array of question, type, difficulty and focus."))
+
+
+def _context(items: Column) -> Column:
+    return F.array_join(F.transform(items, lambda i: F.concat(F.lit("["), i["url"], F.lit("]\n"), i["content"])), "\n\n")
+
+
+def answer_item(pos: Column, question: Column, links: Column, items: Column) -> Column:
+    """One question of an answer prompt with its allowed links and its context, an array of (url, content)."""
+    return F.concat(F.lit("# Question "), pos.cast("string"), F.lit("\n"), question, F.lit("\nLinks allowed: "), F.array_join(links, " "), F.lit("\nContext:\n"), _context(items))
+
+
+def judge_item(pos: Column, question: Column, answer: Column, sources: Column, items: Column, k: int = 3, size: int = 3500) -> Column:
+    """One answer of a judge's prompt: its sources and the beginning of its best ``k`` hits."""
+    seen = F.left(_context(F.slice(items, 1, k)), F.lit(size))
+    return F.concat(F.lit("# Item "), pos.cast("string"), F.lit("\nQuestion: "), question, F.lit("\nAnswer: "), answer, F.lit("\nSources: "), F.array_join(F.coalesce(sources, F.array().cast("array<string>")), " "), F.lit("\nContext:\n"), seen)
+
+
+def rewrite_item(pos: Column, question: Column, answer: Column, problems: Column, links: Column, items: Column) -> Column:
+    """One item of a rewrite prompt: the last answer, what is wrong with it, and its context."""
+    wrong = F.array_join(F.transform(problems, lambda p: F.concat(F.lit("* "), p)), "\n")
+    return F.concat(F.lit("# Item "), pos.cast("string"), F.lit("\nQuestion: "), question, F.lit("\nLast answer: "), answer, F.lit("\nTo be mended:\n"), wrong, F.lit("\nLinks allowed: "), F.array_join(links, " "), F.lit("\nContext:\n"), _context(items))
+
+
 def verdicts(batched: DataFrame, replies: DataFrame, keys: list[str], judge: str = "model") -> DataFrame:
     """Joins the rows of a judge's reply to the items (keys, pos, id) by their index; numbers that are none are 0, other verdicts and indices are left out."""
     items = F.from_json(T.loose_json(F.col("reply")), VERDICT)

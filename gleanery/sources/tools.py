@@ -100,6 +100,29 @@ def topic_rows(listed: DataFrame, documents: DataFrame) -> DataFrame:
     return listed.join(documents.select("slug", "content"), "slug").select("slug", F.when(title != "", title).otherwise(F.col("slug")).alias("title"), "category", "status", "url", "content")
 
 
+def registry_versions(packages: DataFrame, lookup: Callable[[str], str], name: str = "package") -> DataFrame:
+    """(package, latest, error) of distinct packages from a registry: ``lookup`` gives the JSON document of a package's latest release."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            out: list[tuple[str | None, str | None]] = []
+            for p in pdf["package"]:
+                try:
+                    out.append((json.loads(lookup(p))["version"], None))
+                except Exception as e:
+                    out.append((None, f"{type(e).__name__}: {e}"[:300]))
+            yield pd.DataFrame({"package": pdf["package"], "latest": [v for v, _ in out], "error": [e for _, e in out]}, dtype=object)
+
+    return packages.select(F.col(name).alias("package")).distinct().mapInPandas(run, "package string, latest string, error string")
+
+
+def version_guard(found: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(package, latest, wanted, same, same_major) of the packages wanted (package, wanted) against the registry's; an unknown one is neither."""
+    major = lambda c: F.split_part(c, F.lit("."), F.lit(1))
+    x = wanted.join(found.select("package", "latest"), "package", "left")
+    return x.select("package", "latest", "wanted", F.coalesce(F.col("latest") == F.col("wanted"), F.lit(False)).alias("same"), F.coalesce(major(F.col("latest")) == major(F.col("wanted")), F.lit(False)).alias("same_major"))
+
+
 def require_major(found: str, wanted: int) -> str:
     """The version found, if its major number is the one wanted."""
     if not found.split(".")[0].isdigit() or int(found.split(".")[0]) != wanted:

@@ -38,6 +38,22 @@ def latest_view(spark: SparkSession, table: str, key: str, seq: str) -> DataFram
     return latest_by(spark.read.parquet(table).drop("batch"), key, seq).drop("first_seq")
 
 
+def compact(spark: SparkSession, table: str, key: str, seq: str) -> None:
+    """Writes the last row per key as the only batch of a table that no stream is writing to; its readers see the old or the new files, never a mix.
+
+    The new batch has the number of the last one, so a stream that goes on writes after it.
+    """
+    batches = [int(r[0]) for r in spark.read.parquet(table).select("batch").distinct().collect()]
+    last = max(batches)
+    path = lambda n: spark._jvm.org.apache.hadoop.fs.Path(n)
+    system = path(table).getFileSystem(spark._jsc.hadoopConfiguration())
+    new, old = path(f"{table}.compacted/batch={last}"), path(f"{table}.old")
+    latest_view(spark, table, key, seq).write.mode("overwrite").parquet(new.toString())
+    system.rename(path(table), old)
+    system.rename(path(f"{table}.compacted"), path(table))
+    system.delete(old, True)
+
+
 def first_seen(stream: DataFrame, keys: list[str], ts: str | None = None, late: str = "1 hour") -> DataFrame:
     """Rows whose key has not come before; with an event time the state is bounded by the watermark."""
     if ts is None:

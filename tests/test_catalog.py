@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in "events documents embeddings pages benchmark labels conversations".split():
+    for t in "nation events documents embeddings pages benchmark labels conversations".split():
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 

@@ -1,9 +1,10 @@
 """Operators on small inline frames."""
 
 import json
+import re
 
 from gleanery.functions import text as T
-from gleanery.operators import checks, dedup, planning, refine, release, retrieval, review, selection, state, validate
+from gleanery.operators import checks, dedup, planning, refine, release, retrieval, review, selection, state, validate, vocabulary
 from gleanery.plans.progress import Progress
 from gleanery.plans.stages import Plan
 from gleanery.sources import jsonl, models, tools
@@ -24,12 +25,12 @@ def test_text_functions(spark):
     assert [tuple(x) for x in v(T.fenced_blocks, "```ts\nx\n``` ```\ny\n```")] == [("ts", "x\n"), ("", "y\n")]
     assert json.loads(v(T.loose_json, 'Sure:\n```json\n[{"a": 1}]\n```')) == [{"a": 1}] and json.loads(v(T.loose_json, 'it is {"a": 1} ok')) == {"a": 1}
     assert v(T.loose_json, "none {here") is None
-    assert v(lambda c: T.split_sections(c, "ANSWER"), "=== ANSWER 2 ===\nb\n=== ANSWER 1 ===\na\n=== ANSWER 2 ===\nc") == {1: "a", 2: "c"}
+    assert v(lambda c: T.split_sections(c, "ANSWER"), "well\n=====ANSWER 2=====\nb\n=====ANSWER 1=====\n\na\nand =====ANSWER 3===== too\n=====ANSWER 2=====\nc ") == {1: "a\nand =====ANSWER 3===== too", 2: "c"}
     assert v(T.shingles, "a b") == [] and v(T.shingles, "A b, c d") == ["a b c", "b c d"]
     assert one(spark, T.js_round(F.lit(-2.5))) == -2 and one(spark, T.js_round(F.lit(2.5))) == 3
     assert v(T.to_number, "x") == 0.0 and v(T.to_number, "4.5") == 4.5
     assert tuple(v(T.decision, "3 d too vague")) == (3, "d", "too vague") and v(T.decision, "what")["k"] is None
-    assert v(T.sse_payload, 'event: m\ndata: {"a":1}\n') == '{"a":1}' and v(T.strip_ansi, "\x1b[31mx\x1b[0m") == "x"
+    assert v(T.strip_ansi, "\x1b[31mx\x1b[0m") == "x"
     assert one(spark, T.rotate(F.array(*map(F.lit, "abc")), F.lit(4))) == ["b", "c", "a"]
     assert [tuple(x) for x in v(T.diagnostics, "a.ts(3,5): error TS2305: no member\nok")] == [("a.ts", 3, 2305, "no member")]
     assert v(T.imported_names, "{ a as b, type C, /* x */ d }") == ["a", "C", "d"]
@@ -59,7 +60,7 @@ def test_checks(spark):
     rows = [("a", "how-to", "x", "INSUFFICIENT"), ("b", "migration", "x", "The old thing was removed: gone() " + "y" * 60), ("c", "how-to", "x", "Use gone() " + "y" * 60 + " https://bad.org/p https://ok.org/p"), ("d", "how-to", "x", "z" * 2601)]
     df = spark.createDataFrame(rows, "id string, type string, area string, answer string")
     known = spark.createDataFrame([("https://ok.org/p/",)], "url string")
-    out = {r.id: r for r in checks.check_answers(df, [("gone", r"gone\s*\(")], known, {}, "vocabulary").collect()}
+    out = {r.id: r for r in checks.check_answers(df, [("gone", r"gone\s*\(")], known).collect()}
     assert out["a"].hard[:2] == ["insufficient", "too-short"] and out["a"].hard[2].startswith("artifact:")
     assert out["b"].hard == [] and out["b"].soft == ["stale-in-migration:gone"]
     assert out["c"].hard == ["bad-link:https://bad.org/p", "stale:gone"] and out["c"].soft == ["multiple-links"] and out["c"].links == 2
@@ -91,18 +92,84 @@ def test_cosine_pairs(spark):
 
 
 def test_capped(spark):
-    rows = [(i, i, "pool:a" if i % 3 else "x", f"p{i % 5}", "easy" if i % 2 else "hard") for i in range(200)]
+    rows = [(i, i, "spec:" + "ab"[i % 2] if i % 3 else "x", f"p{i % 5}", "easy" if i % 2 else "hard") for i in range(200)]
     got = selection.capped(spark.createDataFrame(rows, "id long, rank long, area string, page string, difficulty string"), 40, {"x": 0.11}, pool_cap=0.5, page_cap=6, difficulty={"easy": 0.2, "hard": 0.2})
     cnt: dict = {}
     want = {}
     for turn in (1, 2):
         for i, _, a, p, d in rows:
-            a = "pool" if a.startswith("pool:") else a
-            if len(want) < 40 and i not in want and cnt.get(a, 0) < (0.5 if a == "pool" else 0.11) * 40 and cnt.get(p, 0) < 6 and (turn == 2 or cnt.get(d, 0) < 0.2 * 40 * 1.1):
+            a = "spec" if a.startswith("spec:") else a
+            if len(want) < 40 and i not in want and cnt.get(a, 0) < (0.5 if a == "spec" else 0.11) * 40 and cnt.get(p, 0) < 6 and (turn == 2 or cnt.get(d, 0) < 0.2 * 40 * 1.1):
                 for k in (a, p, d):
                     cnt[k] = cnt.get(k, 0) + 1
                 want[i] = turn
     assert {r.id: r["pass"] for r in got.collect()} == want
+    few = spark.createDataFrame([(i, i, f"spec:{i % 3}", f"p{i}", "expert") for i in range(30)], "id long, rank long, area string, page string, difficulty string")
+    assert {r.id: r["pass"] for r in selection.capped(few, 20).collect()} == {0: 1, 1: 1}  # a tenth of 20 for all of them together
+    assert selection.capped(few.limit(0), 20).count() == 0
+
+
+def test_greedy_chain(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(299)], "a long, b long")
+    nodes = spark.range(300).select("id", F.col("id").alias("rank"))
+    assert sorted(r.id for r in dedup.greedy(nodes, chain, rounds=3).collect()) == list(range(0, 300, 2))
+
+
+def test_rule_hits(spark):
+    texts = spark.createDataFrame([(1, "An OLD call"), (2, "none"), (3, None)], "id long, text string")
+    rules = spark.createDataFrame([(f"r{i}", "old" if i % 2 else f"x{i}y", i) for i in range(450)], "rule_id string, re string, weight int")
+    got = checks.rule_hits(texts, rules).collect()
+    assert {(r.id, r.rule_id, r.weight) for r in got} == {(1, f"r{i}", i) for i in range(1, 450, 2)}
+    assert checks.rule_hits(texts, rules.limit(0)).count() == 0
+
+
+def test_contained(spark):
+    import random
+
+    rnd = random.Random(4)
+    words = ["".join(rnd.choice("ab_1") for _ in range(rnd.randint(1, 4))) for _ in range(60)]
+    texts = [rnd.choice(" .-").join(rnd.sample(words, 5)).upper() for _ in range(12)] + [None, ""]
+    asked = sorted(set(words) | {"a b", "b.a", "zz", "1_", "_"})
+    corpus, tokens = spark.createDataFrame([(t,) for t in texts], "content string"), spark.createDataFrame([(t,) for t in asked], "token string")
+    low = [t.lower() for t in texts if t]
+    assert {r.token for r in vocabulary.contained(tokens, corpus, block=7).collect()} == {w for w in asked if any(w in t for t in low)}
+    edge = lambda w: re.compile(rf"\b{re.escape(w)}\b", re.ASCII)
+    assert {r.token for r in vocabulary.contained(tokens, corpus, whole=True, block=7).collect()} == {w for w in asked if any(edge(w).search(t) for t in low)}
+
+
+def test_first_fit_rows(spark):
+    rows = [(g, i, (i * 37) % 23) for g in ("a", "b", None) for i in range(30)]
+    got = retrieval.first_fit_rows(spark.createDataFrame(rows, "g string, i long, n long"), "g", "i", "n", 50).collect()
+    want = set()
+    for g in "ab":
+        used = 0
+        for i in range(30):
+            if used + (i * 37) % 23 <= 50:
+                used += (i * 37) % 23
+                want.add((g, i))
+    assert {(r.g, r.i) for r in got} == want and len(got) == len(want)
+
+
+def test_scratch(spark, tmp_path, monkeypatch):
+    from gleanery.plans import tables
+
+    monkeypatch.setattr(tables, "shared_dir", lambda _: str(tmp_path))
+    assert tables.materialize(spark.range(3), "x").count() == 3 and list(tmp_path.iterdir())
+    tables.clear_scratch(spark)
+    assert not list(tmp_path.iterdir())
+
+
+def test_a_cluster_names_its_shared_folder():
+    from types import SimpleNamespace
+
+    import pytest
+    from gleanery.plans import tables
+
+    session = lambda master, where: SimpleNamespace(conf={"spark.checkpoint.dir": where}, sparkContext=SimpleNamespace(master=master))
+    assert tables.shared_dir(session("yarn", "hdfs:///x")) == "hdfs:///x" and tables.shared_dir(session("local[2]", None)) == tables.FALLBACK_DIR
+    for master in ("yarn", "local-cluster[2,1,1000]", "spark://h:1"):
+        with pytest.raises(ValueError):
+            tables.shared_dir(session(master, None))
 
 
 def test_gate_cascade(spark):
@@ -129,7 +196,7 @@ def test_reviews_and_sections(spark):
     reply = json.dumps([{"i": "1", "keep": True, "question": "a much better wording of it"}, {"i": "2", "reason": "vague"}])
     r = spark.createDataFrame([(0, 2, "m", "ok " + reply)], "batch int, size int, model string, reply string")
     assert [(x.id, x["keep"], x.question) for x in review.usable_reviews(b, r, ["batch"]).orderBy("id").collect()] == [("a", True, "a much better wording of it"), ("b", False, None)]
-    s = spark.createDataFrame([(0, 2, "m", "=== ANSWER 2 ===\nyes")], "batch int, size int, model string, reply string")
+    s = spark.createDataFrame([(0, 2, "m", "=====ANSWER 2=====\nyes")], "batch int, size int, model string, reply string")
     assert [tuple(x) for x in review.section_answers(b, s, ["batch"]).collect()] == [("b", "yes", "m")]
 
 
@@ -153,7 +220,7 @@ def test_sources(spark, tmp_path):
     p = str(tmp_path / "t.jsonl")
     (tmp_path / "t.jsonl").write_text('{"a": 1}\nnot json\n')
     rows, bad = jsonl.read_jsonl_tolerant(spark, p, "a int")
-    assert [r.a for r in rows.collect()] == [1] and [r.line for r in bad.collect()] == ["not json"]
+    assert [r.a for r in rows.collect()] == [1] and [(r.line, r.text) for r in bad.collect()] == [(2, "not json")]
     assert jsonl.read_jsonl(spark, str(tmp_path / "none"), "a int").count() == 0
     jsonl.write_jsonl(rows, str(tmp_path / "o"))
     jsonl.append_jsonl(rows, str(tmp_path / "o"))
