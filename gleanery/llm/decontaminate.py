@@ -12,12 +12,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import bounded_batches, whole_text
 
 _MARKS = str.maketrans({c: " " for c in map(chr, range(128)) if not c.isalnum()})
-#: Items that one index holds; a larger benchmark is asked in so many passes.
-SLICE = 20_000
+#: Items and characters that one index holds at most; a larger benchmark is asked in so many passes. Items under SHORT characters share one.
+SLICE, SLICE_CHARS, SHORT = 20_000, 16 << 20, 1000
 
 
 def words(text: str) -> list[str]:
@@ -51,7 +52,7 @@ class Corpus:
 class Index:
     """Postings by term with block maxima; impacts are BM25 weights over the item's own score, so an item scores its own text 1."""
 
-    def __init__(self, items: list[tuple[int, str]], corpus: Corpus, k1: float = 1.2, b: float = 0.75, block: int = 4, common: float = 0.05):
+    def __init__(self, items: list[tuple], corpus: Corpus, k1: float = 1.2, b: float = 0.75, block: int = 4, common: float = 0.05):
         self.ids, self.parts, self.block = [], [], block
         postings: dict[str, list[tuple[int, float]]] = {}
         self.longest = 1
@@ -166,18 +167,34 @@ class Index:
         return best
 
 
-def _slices(benchmark: DataFrame, id_col: str, text_col: str, size: int) -> Iterator[list[tuple[int, str]]]:
-    rows = benchmark.select(F.col(id_col), whole_text(text_col)).orderBy(F.length(text_col), id_col, text_col)
-    part: list[tuple[int, str]] = []
+def _slices(benchmark: DataFrame, id_col: str, text_col: str, size: int) -> Iterator[list[tuple]]:
+    """The items by length, in parts of ``size`` items and ``SLICE_CHARS`` characters at most (or one longer item), in which no item is over
+    four times as long as the shortest, short ones aside; so a long item makes passages long in its own part only."""
+    text = whole_text(text_col)
+    rows = benchmark.select(F.col(id_col), text, F.length(text).alias("n")).orderBy("n", id_col, text)
+    part: list[tuple] = []
+    chars = 0
     for r in rows.toLocalIterator():
-        part.append((r[0], r[1]))
-        if len(part) == size:
+        if part and (len(part) == size or chars + r[2] > SLICE_CHARS or r[2] > 4 * max(SHORT, len(part[0][1]))):
             yield part
-            part = []
+            part, chars = [], 0
+        part.append((r[0], r[1]))
+        chars += r[2]
     if part:
         yield part
 
 
+def _indexes(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, size: int) -> Iterator:
+    """An index per part of the items, sent once to each executor; BM25 counts are of all items."""
+    corpus = Corpus()
+    for part in _slices(benchmark, id_col, text_col, size):
+        for _, t in part:
+            if w := words(t):
+                corpus.add(w)
+    for part in _slices(benchmark, id_col, text_col, size):
+        yield docs.sparkSession.sparkContext.broadcast(Index(part, corpus))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", threshold: float = 0.6, overlap: float = 0.8, size: int = SLICE) -> DataFrame:
     """Pairs (doc_id, item_id, score, question_overlap, answer_overlap) of documents and the items they hold.
 
@@ -186,59 +203,55 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     for its own; it counts if ``overlap`` of the five-word shingles of its question and as many of its answer stand in the text. An item
     that doesn't give both is one question, asked for as a whole; its answer_overlap is 1.
 
-    The benchmark is read in slices of ``size`` items, by length; each is one index, sent to the tasks, and one pass
+    The benchmark is read in parts by length, ``size`` items at most and bounded in bytes; each is one index, broadcast to the executors, and one pass
     over the texts, while BM25 counts are of all items. Null and empty texts hold nothing; items without words are held by none;
-    null and repeated ids come back as they are, a pair for each row; no documents or no items give no rows. Other columns are ignored.
+    ids of either table may be of any type, null and repeated ones come back as they are, a pair for each row; no documents or no items give no
+    rows. Other columns are ignored.
     """
     bounded_batches(docs.sparkSession)
-    corpus = Corpus()
-    for part in _slices(benchmark, item_id_col, item_text_col, size):
-        for _, t in part:
-            if w := words(t):
-                corpus.add(w)
-    kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_id_col].dataType.simpleString()
-    schema = f"doc_id {kind}, item_id {item_kind}, score double, question_overlap double, answer_overlap double"
+    kind, item = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_id_col].dataType
+    schema = f"doc_id {kind}, item_id {item.simpleString()}, score double, question_overlap double, answer_overlap double"
     texts = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     out = None
-    for part in _slices(benchmark, item_id_col, item_text_col, size):
-        found = texts.mapInArrow(_pass(Index(part, corpus), threshold, overlap), schema)
+    for index in _indexes(docs, benchmark, item_id_col, item_text_col, size):
+        found = texts.mapInArrow(_pass(index, threshold, overlap, to_arrow_type(item)), schema)
         out = found if out is None else out.unionByName(found)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 
-def _pass(index: Index, threshold: float, overlap: float):
+def held_items(index: Index, text: str, threshold: float, overlap: float) -> list[tuple[int, float, float, float]]:
+    """(place in the index, score, question overlap, answer overlap) of the items that a text holds."""
+    w = words(text)
+    found = index.retrieve(w, threshold, max(64, index.longest))
+    if not found:
+        return []
+    have = {width: {tuple(w[k : k + width]) for k in range(len(w) - width + 1)} for width in {len(s) for j in found for part in index.parts[j] for s in part}}
+    out = []
+    for j, score in sorted(found.items()):
+        q, a = (sum(x in have[len(x)] for x in part) / len(part) if part else 1.0 for part in index.parts[j])
+        if min(q, a) >= overlap - 1e-9:
+            out.append((j, score, q, a))
+    return out
+
+
+def _pass(shared, threshold: float, overlap: float, item_kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = max(64, index.longest)
+        index = shared.value
         for b in batches:
-            row, item, score, left, right = [], [], [], [], []
-            for i, t in enumerate(b.column(1)):
-                w = words(t.as_py())
-                found = index.retrieve(w, threshold, step)
-                if not found:
-                    continue
-                have = {width: {tuple(w[k : k + width]) for k in range(len(w) - width + 1)} for width in {len(s) for j in found for part in index.parts[j] for s in part}}
-                for j, s in sorted(found.items()):
-                    q, a = (sum(x in have[len(x)] for x in part) / len(part) if part else 1.0 for part in index.parts[j])
-                    if min(q, a) >= overlap - 1e-9:
-                        row.append(i)
-                        item.append(index.ids[j])
-                        score.append(s)
-                        left.append(q)
-                        right.append(a)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row, pa.int64())), pa.array(item, pa.int64()), pa.array(score, pa.float64()), pa.array(left, pa.float64()), pa.array(right, pa.float64())], names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
+            rows = [(i, *hit) for i, t in enumerate(b.column(1)) for hit in held_items(index, t.as_py(), threshold, overlap)]
+            row, item, score, left, right = zip(*rows) if rows else ((),) * 5
+            cols = [b.column(0).take(pa.array(row, pa.int64())), pa.array([index.ids[j] for j in item], item_kind), *(pa.array(x, pa.float64()) for x in (score, left, right))]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
     return run
 
 
-def flag(index: Index, threshold: float, overlap: float):
+def flag(shared, threshold: float, overlap: float):
     """A column function text -> whether it holds an item of the index."""
-    run = _pass(index, threshold, overlap)
 
     @F.pandas_udf("boolean")
     def held(texts: pd.Series) -> pd.Series:
-        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["i", "text"])
-        hit = {i for out in run(iter([batch])) for i in out.column(0).to_pylist()}
-        return pd.Series([i in hit for i in range(len(texts))])
+        return pd.Series([bool(held_items(shared.value, t, threshold, overlap)) for t in texts], dtype=bool)
 
     return lambda name: held(whole_text(name))
 
@@ -246,11 +259,7 @@ def flag(index: Index, threshold: float, overlap: float):
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", threshold: float = 0.6, overlap: float = 0.8, size: int = SLICE) -> DataFrame:
     """The rows of ``docs``, all their columns, whose text holds no item; see ``contaminated``."""
     bounded_batches(docs.sparkSession)
-    corpus, out = Corpus(), docs
-    for part in _slices(benchmark, item_id_col, item_text_col, size):
-        for _, t in part:
-            if w := words(t):
-                corpus.add(w)
-    for part in _slices(benchmark, item_id_col, item_text_col, size):
-        out = out.where(~flag(Index(part, corpus), threshold, overlap)(text_col))
+    out = docs
+    for index in _indexes(docs, benchmark, item_id_col, item_text_col, size):
+        out = out.where(~flag(index, threshold, overlap)(text_col))
     return out
