@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, whole_text
+from .common import heavy_join, materialize, whole_text
 
 #: ASCII white space, deleted before texts are compared.
 WHITE = r"[\x20\x09-\x0D]"
@@ -18,14 +18,16 @@ def radix_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     the groups that are left by their next bytes, ``factor`` times as many as the round before.
     A row leaves as soon as its group has one row or its bytes have ended, so equality is decided
     by the bytes alone, without a digest. Only rows that still share all their bytes so far are
-    read by a later round. A group is never gathered: a round counts (group, digit) with
-    pre-aggregation and joins the counts back, a sort-merge join at every size, whose hot keys Spark splits.
+    read by a later round. Digits grow, so the rounds are as many as the logarithm of the longest text and not its length;
+    a round ships the digit alone to its count, while rows stay with the bytes that they still have. A group is never gathered: a round
+    counts (group, digit) with pre-aggregation and joins the counts back by sort-merge, whose hot keys Spark splits; the last join has
+    few short columns and broadcasts the largest groups, fewer than four times the partitions.
 
     Returns doc_id, keep_id (of the row that stays: most code points in the original text, then
     smallest doc_id), group_size, kept, text_sha256 (of the text without white space).
 
-    Null text counts as empty, and all empty texts are one group. A null doc_id loses to any other;
-    rows repeated with the same doc_id count each, and exactly one row of a group is kept. No rows
+    Null text counts as empty, and all empty texts are one group. Ids may be of any type that has an order; a null one loses to
+    any other; rows repeated with the same doc_id count each, and exactly one row of a group is kept. No rows
     give no rows. Other columns are ignored, whatever their names.
     """
     text = whole_text(text_col)
@@ -51,11 +53,10 @@ def radix_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ended = done[0]
     for part in done[1:]:
         ended = ended.unionByName(part)
+    ended = materialize(ended, "radix-ended")
     alone = ended.where("gid is null").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     shared = ended.where("gid is not null")
-    best = shared.groupBy("turn", "gid").agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("n_cp", (-F.col("doc_id")).alias("neg"), (-F.col("uid")).alias("u"))).alias("best"))
-    found = shared.join(best.hint("merge"), ["turn", "gid"]).select(
-        "doc_id", (-F.col("best.neg")).alias("keep_id"), "group_size",
-        (F.col("doc_id").eqNullSafe(-F.col("best.neg")) & (F.col("n_cp") == F.col("best.n_cp")) & (F.col("uid") == -F.col("best.u"))).alias("kept"), "text_sha256",
-    )
-    return alone.unionByName(found)
+    place = F.struct((-F.col("n_cp")).alias("neg"), F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("d"), F.col("uid").alias("u"))
+    best = shared.groupBy("turn", "gid").agg(F.count(F.lit(1)).alias("group_size"), F.min(place).alias("best")).withColumn("c", F.col("group_size"))
+    found = heavy_join(shared, materialize(best, "radix-best"), ["turn", "gid"])
+    return alone.unionByName(found.select("doc_id", F.col("best.d").alias("keep_id"), "group_size", (F.col("uid") == F.col("best.u")).alias("kept"), "text_sha256"))
