@@ -36,12 +36,11 @@ def chunk_table(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     again = p.where(F.col("n_bytes") >= least).groupBy(*same).agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
     p = p.join(again, same, "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    at = F.sequence(F.lit(0), F.when(revisit, F.lit(0)).otherwise(F.greatest(F.lit(0), F.ceil(F.col("n_bytes") / chunk).cast("int") - 1)))
+    last = F.when(revisit, F.lit(0)).otherwise(F.greatest(F.lit(0), F.ceil(F.col("n_bytes") / chunk).cast("int") - 1))
     part = F.when(revisit, F.lit(b"")).otherwise(F.col("payload"))
-    cut = p.select("page_id", "url", F.when(revisit, F.col("first")).alias("refers_to"), "sha1", "n_bytes", part.alias("payload"), at.alias("at"))
-    cut = cut.select("page_id", "url", "refers_to", "sha1", "n_bytes", F.transform("at", lambda i: F.struct(i.alias("no"), F.substring("payload", i * chunk + 1, F.lit(chunk)).alias("bytes"))).alias("parts"))
-    cut = cut.select("page_id", "url", "refers_to", "sha1", "n_bytes", F.explode("parts").alias("p"))
-    return cut.select(F.col("page_id").cast("string").alias("record_id"), "url", F.col("refers_to").cast("string").alias("refers_to"), "sha1", "n_bytes", F.col("p.no").alias("chunk_no"), F.col("p.bytes").alias("chunk"))
+    cut = p.select("page_id", "url", F.when(revisit, F.col("first")).alias("refers_to"), "sha1", "n_bytes", part.alias("payload"), F.explode(F.sequence(F.lit(0), last)).alias("chunk_no"))
+    # a row per chunk from the start: no row holds all chunks of a record
+    return cut.select(F.col("page_id").cast("string").alias("record_id"), "url", F.col("refers_to").cast("string").alias("refers_to"), "sha1", "n_bytes", "chunk_no", F.substring("payload", F.col("chunk_no") * chunk + 1, F.lit(chunk)).alias("chunk"))
 
 
 def _name(record: str | None) -> str:
