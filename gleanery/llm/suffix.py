@@ -21,10 +21,12 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialize, scratch, whole_text, wide
+from .common import bounded_batches, heavy_join, materialize, scratch, whole_text, wide
 
 GRAM = 16
 BLOCK = 2 << 20
+#: Bytes of text for each bucket, however many there are; with more partitions buckets are smaller.
+BUCKET = 16 << 20
 #: Passages that travel together at most, and windows hashed at once.
 RUN, SLICE = 64, 1 << 20
 #: Stands for a null id, which is no document's smaller one.
@@ -294,8 +296,8 @@ _BLOCKS = pa.schema([("block_id", pa.string()), ("path", pa.string()), ("offset"
 def _with_copies(blocks: DataFrame) -> DataFrame:
     """Adds the places of documents whose whole text a document with a smaller id has."""
     each = blocks.select("block_id", F.posexplode(F.arrays_zip("ids", "digests")).alias("place", "d")).select("block_id", "place", F.coalesce("d.ids", F.lit(int(LAST))).alias("id"), F.col("d.digests").alias("digest"))
-    first = each.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("final")).where("first < final").select("digest", "first")
-    copies = each.join(first, "digest").where("id > first").groupBy("block_id").agg(F.collect_list("place").alias("copies"))
+    first = each.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("final"), F.count(F.lit(1)).alias("c")).where("first < final").drop("final")
+    copies = heavy_join(each, materialize(first, "blocks-firsts"), ["digest"]).where("id > first").groupBy("block_id").agg(F.collect_list("place").alias("copies"))
     return blocks.drop("digests").join(copies, "block_id", "left")
 
 
@@ -309,17 +311,18 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     One row per input row: doc_id, n_bytes, n_removed, spans (maximal removed runs as start and end), kept (the remaining bytes, if
     ``contents``), kept_sha256. All is judged on the input; repeats within a document alone are none of its concern.
 
-    A text that a document with a smaller id has as a whole goes as a whole; only first texts enter the search, so copies make no bucket
-    larger. Texts under ``width`` bytes, empty and null ones (empty bytes) have no passages. Ids are integers; a null id counts as larger
+    A text that a document with a smaller id has as a whole, told by its length and a 128-bit xxHash (fast, not made against forgery), goes as a
+    whole; only first texts enter the search, so copies make no bucket larger. Buckets grow in number with the bytes, not in size. Texts under ``width`` bytes, empty and null ones (empty bytes) have no passages. Ids are integers; a null id counts as larger
     than any other and not as smaller than another null. Rows that repeat an id fare alike and don't remove each other.
     No rows give no rows; other columns are ignored.
     """
     if width < GRAM:
         raise ValueError(f"passages have {GRAM} bytes at least")
     spark = docs.sparkSession
-    bounded_batches(spark, 8)
-    buckets = buckets or wide(spark)
+    bounded_batches(spark)
     blocks = materialize(_with_copies(store_blocks(docs, id_col, text_col)), "blocks-copies")
+    total = blocks.agg(F.sum(F.aggregate("lens", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    buckets = buckets or max(wide(spark), -(-total // BUCKET))
     n = wide(spark)  # the rows are short, but each stands for a block's work
     seen = materialize(_exchange(blocks.repartition(n).mapInArrow(_send_keys(width, buckets), "bucket int, block_id string, payload binary"), buckets, _seen_twice), "passages-seen")
     known = blocks.join(_by_block(seen, "seen"), "block_id", "left")
