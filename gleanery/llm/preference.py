@@ -9,15 +9,22 @@ REFUSAL = "I can't help with that."
 
 
 def conversations(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """(conv_id, turns): the turns of each conversation in order, as role and text."""
-    t = turns.select(F.col(id_col).alias("conv_id"), F.struct(F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).alias("t"))
+    """(conv_id, turns): the turns of each conversation in order, as role and text.
+
+    Turns with equal numbers are ordered by role and text; repeated rows are turns each; a null turn number comes first, a null role or text
+    is empty. A turn without a conv_id is a conversation of its own, so those are never gathered. No rows give no rows; other columns are ignored.
+    """
+    said = F.struct(F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    t = turns.select(F.col(id_col).alias("conv_id"), F.struct(F.col(turn_col).alias("turn"), said["role"].alias("role"), said["text"].alias("text")).alias("t"))
     ordered = F.transform(F.array_sort(F.collect_list("t")), lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text")))
-    return t.groupBy("conv_id").agg(ordered.alias("turns"))
+    whole = t.where(F.col("conv_id").isNotNull()).groupBy("conv_id").agg(ordered.alias("turns"))
+    return whole.unionByName(t.where(F.col("conv_id").isNull()).select("conv_id", F.array(F.struct(F.col("t.role").alias("role"), F.col("t.text").alias("text"))).alias("turns")))
 
 
 def self_negatives(convs: DataFrame, refusal: str = REFUSAL) -> DataFrame:
     """(pair_id, chosen, rejected) from conversations alone: up to and with the last answer, against the same with the answer before it,
-    or ``refusal`` where there is none, in its place. A conversation without an answer is paired with itself."""
+    or ``refusal`` where there is none, in its place. A conversation without an answer, or without turns, is paired with itself; null and
+    repeated ids come back as they are; no rows give no rows."""
     answer = F.transform("turns", lambda x: x["role"] == "assistant")
     c = convs.withColumn("last", F.size("turns") - F.array_position(F.reverse(answer), True).cast("int") + 1).withColumn("last", F.when(F.array_contains(answer, True), F.col("last")).otherwise(F.lit(0)))
     head = F.expr("slice(turns, 1, greatest(last - 1, 0))")
