@@ -1,6 +1,7 @@
 """Each operator against brute force on small frames: nulls, empty and very long texts, ties, repeated rows, clashing columns, empty tables."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -216,29 +217,53 @@ def test_exact(docs, none):
     assert exact_dedup.radix_groups(none).count() == 0
 
 
-@pytest.mark.parametrize("min_lines", [1, 2, 3])
-def test_lines(docs, none, min_lines):
-    rows = sorted(set(pairs_of(docs)), key=lambda r: (r[0] is None, r[0] or 0))
-    if min_lines > 1:
-        rows = [r for r in rows if r[0] is not None]
-    seen, want = set(), {}
-    for d, t in rows:
+def brute_lines(rows, min_lines):
+    """(doc_id, text, hash) -> what is left of each distinct (doc_id, text), with its lines, removed lines and runs of these."""
+    seen, out = set(), {}
+    for d, t, _ in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, r[2])):
         lines = t.split("\n")
-        own = [(i, x.strip()) for i, x in enumerate(lines) if x.strip()]
+        own = [(i, x.strip(" \t\n\x0b\x0c\r")) for i, x in enumerate(lines) if x.strip(" \t\n\x0b\x0c\r")]
         gone = set()
         for s in range(len(own) - min_lines + 1):
             k = tuple(x for _, x in own[s : s + min_lines])
             if k in seen:
                 gone |= {i for i, _ in own[s : s + min_lines]}
             seen.add(k)
-        want[d, t] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
-    out = line_dedup.dedup_lines(docs, min_lines=min_lines)
-    got = out.select("row.*", F.col("text").alias("new"), "n_removed").collect()
-    assert len(got) == docs.count()
-    for r in got:
-        if (r.doc_id, r.text or "") in want and r.doc_id is not None and r.doc_id != 33:
-            assert r.new == want[r.doc_id, r.text or ""]
-    assert line_dedup.dedup_lines(none).count() == 0
+        marks = "".join("x" if i in gone else "." for i, _ in own)
+        out[d, t] = ("\n".join(x for i, x in enumerate(lines) if i not in gone), len(own), len(gone), len(re.findall("x+", marks)))
+    return out
+
+
+def hashed(docs):
+    return [(r.doc_id, r.t, r.h) for r in docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t")).withColumn("h", F.xxhash64("t")).collect()]
+
+
+def test_exact_with_ids_of_strings(spark):
+    rows = [("b", "x y"), ("a", "xy"), ("c", "xy"), (None, "x  y "), ("d", "z"), ("a", "xy")]
+    got = sorted((str(r.doc_id), r.keep_id, r.group_size, r.kept) for r in exact_dedup.radix_groups(spark.createDataFrame(rows, "doc_id string, text string")).collect())
+    assert got == [("None", None, 5, True), ("a", None, 5, False), ("a", None, 5, False), ("b", None, 5, False), ("c", None, 5, False), ("d", "d", 1, True)]
+
+
+@pytest.mark.parametrize("min_lines", [1, 2, 3])
+def test_lines(spark, docs, none, min_lines):
+    rnd = random.Random(14)
+    few = [prose(rnd, 3) for _ in range(6)]
+    more = [(i, "\n".join(rnd.choice((*few, "", "  ", f" {few[0]}\t")) for _ in range(rnd.randint(0, 9)))) for i in (*range(700, 740), 705, 705, None, None)]
+    for d in (docs, spark.createDataFrame([(i, t, 1, 2, "r", "l", "f") for i, t in more], SCHEMA).repartition(3)):
+        rows = hashed(d)
+        want = brute_lines(rows, min_lines)
+        out = line_dedup.dedup_lines(d, min_lines=min_lines)
+        got = out.select("row.*", F.col("text").alias("new"), "n_lines", "n_removed", "n_runs").collect()
+        assert sorted((str(r.doc_id), r.text or "", r.new, r.n_lines, r.n_removed, r.n_runs) for r in got) == sorted((str(i), t, *want[i, t]) for i, t, _ in rows)
+        assert all((r.fp, r.gid, r.row, r.lines, r.first) == (1, 2, "r", "l", "f") for r in got)
+    assert line_dedup.dedup_lines(none, min_lines=min_lines).count() == 0
+
+
+def test_matches_extend_both_ways():
+    own, first = [9, 1, 2, 3, 4, 8], [7, 1, 2, 3, 4, 5]
+    assert line_dedup._extend(own, first, [{"s": 2, "f": 2}], 2) == [1, 2, 3, 4]
+    assert line_dedup._extend([1, 1, 1, 1], [1, 1, 1, 1], [{"s": 1, "f": 0}], 2) == [1, 2, 3]
+    assert line_dedup._extend(own, [3, 4, 8], [{"s": 3, "f": 0}], 2) == [3, 4, 5]
 
 
 def test_single_lines_go(spark):
@@ -284,28 +309,53 @@ def test_maximal_repeats():
     assert groups == {b"abcdefghijklmnopqrs": 4, b"abcdefghijklmnopqrstuvw": 2, b"xxabcdefghijklmnopqrs": 2}
 
 
-def test_chunks(docs, none):
-    rows = pairs_of(docs)
-    places: dict = {}
-    for d, t in set(rows):
+def brute_ends(data, least, bits, most):
+    """Cut points by rolling the gear hash a byte at a time."""
+    gear, h, marks, ends, last = [int(x) for x in chunks._gear()], 0, [], [], 0
+    for i, c in enumerate(data):
+        h = (2 * h + gear[c]) % 2**32
+        if h >> (32 - bits) == 0:
+            marks.append(i + 1)
+    inside = lambda e: e < len(data) and data[e] & 0xC0 == 0x80
+    for e in [*marks, len(data)]:
+        while e - last > most:
+            cut = last + most
+            while cut > last + 1 and inside(cut):
+                cut -= 1
+            ends.append(cut)
+            last = cut
+        if e > last and (e == len(data) or (e - last >= least and not inside(e))):
+            ends.append(e)
+            last = e
+    return ends
+
+
+@pytest.mark.parametrize("size", [{}, queries.CHUNKS])
+def test_chunks(docs, none, size):
+    options = {"least": 32, "bits": 6, "most": 256, **size}
+    rows, places = hashed(docs), {}
+    for d, t, h in set(rows):
         b, at = t.encode(), 0
-        for e in chunks.chunk_ends(b):
-            if e - at >= 32:
-                places.setdefault(b[at:e], []).append((d is None, d or 0, at, t))
+        ends = brute_ends(b, **options)
+        assert ends == chunks.chunk_ends(b, **options)
+        for e in ends:
+            if e - at >= options["least"]:
+                places.setdefault(b[at:e], []).append((d is None, d or 0, h, at))
             at = e
-        assert at == len(b) and b"".join(b[a:e] for a, e in zip([0, *chunks.chunk_ends(b)], chunks.chunk_ends(b))) == b
-    first = {k: min(v)[:3] for k, v in places.items()}
-    for r in chunks.dedup_chunks(docs).collect():
-        if r.doc_id in (None, 30, 33):
-            continue
-        t = next(t for d, t in rows if d == r.doc_id)
-        b, at, kept = t.encode(), 0, []
-        for e in chunks.chunk_ends(b):
-            if e - at < 32 or first[b[at:e]] >= (False, r.doc_id, at):
-                kept.append(b[at:e])
+        assert at == len(b)
+    first = {k: min(v) for k, v in places.items()}
+    want = []
+    for d, t, h in rows:
+        b, at, kept, marks = t.encode(), 0, [], ""
+        for e in brute_ends(b, **options):
+            gone = e - at >= options["least"] and first[b[at:e]] < (d is None, d or 0, h, at)
+            marks += "x" if gone else "."
+            kept += [] if gone else [b[at:e]]
             at = e
-        assert r.text.encode() == b"".join(kept) and r.n_removed == len(b) - len(r.text.encode())
-    assert chunks.dedup_chunks(none).count() == 0
+        left = b"".join(kept)
+        want.append((str(d), left.decode(), len(b), len(b) - len(left), len(re.findall("x+", marks))))
+    assert sorted((str(r.doc_id), r.text, r.n_bytes, r.n_removed, r.n_spans) for r in chunks.dedup_chunks(docs, **options).collect()) == sorted(want)
+    assert chunks.dedup_chunks(none, **options).count() == 0
 
 
 def test_chunks_resist_shifts():
@@ -352,6 +402,19 @@ def test_warc(spark, none):
     assert all(r.record_type == "response" for r in warc.round_trip(pages, least=10**9).where("last").collect())
 
 
+def test_warc_long_payloads(spark):
+    long = ["".join(random.Random(k).choice("abc é") for _ in range(400_000)) for k in range(2)]
+    pages = spark.createDataFrame([(1, "u", long[0]), (2, "v", long[1]), (3, "w", long[0])], "page_id long, url string, html string")
+    got = warc.round_trip(pages, contents=True).collect()
+    for i, t in ((1, long[0]), (2, long[1])):
+        parts = sorted((r.chunk_no, bytes(r.chunk), r["last"]) for r in got if r.record_id == str(i))
+        assert [n for n, _, _ in parts] == list(range(len(parts))) and len(parts) > 6 and [x for _, _, x in parts] == [False] * (len(parts) - 1) + [True]
+        assert b"".join(c for _, c, _ in parts) == t.encode() and all(len(c) == warc.CHUNK for _, c, _ in parts[:-1])
+    assert [(r.record_type, r.refers_to, r.payload_bytes) for r in got if r.record_id == "3"] == [("revisit", "1", len(long[0].encode()))]
+    longest = warc.chunk_table(pages).agg(F.max(F.octet_length("chunk"))).first()[0]
+    assert longest == warc.CHUNK
+
+
 def test_quality(spark):
     rnd = random.Random(6)
     rows, labels = [], []
@@ -372,6 +435,34 @@ def test_quality(spark):
     assert {r.doc_id: r.score for r in quality.classify(d, flipped).collect()} == {i: r.score for i, r in got.items()}
 
 
+def by_hand(model, text):
+    """A score by one addition after another of what the tables have for each feature's bin."""
+    x = quality.features(text)
+    bins = [sum(v >= e for e in edges) for v, edges in zip(x, model.edges)]
+    total = model.base
+    for b, t in zip(bins, model.tables):
+        total += float(t[b])
+    for (i, j), t in zip(model.pairs, model.pair_tables):
+        total += float(t[bins[i], bins[j]])
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, total))))
+
+
+def test_quality_scores_by_hand(spark):
+    rnd = random.Random(16)
+    texts = ["", None, " \n", "word", prose(rnd, 60_000), "X" * 200_000, "é😀 " * 50, "a\n" * 3000] + [prose(rnd, rnd.randint(1, 60)).upper() if k % 3 == 0 else prose(rnd, rnd.randint(1, 60)) for k in range(80)]
+    rows = [(k, t, 7) for k, t in enumerate(texts)] + [(3, "word", 7), (3, "word", 7), (3, "other"[:5], 7), (None, "word", 7)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, score int")
+    labels = spark.createDataFrame([(k, int(k % 3 != 0), 0) for k in range(8, 88)] + [(9, 1, 0), (9, None, 0), (None, 1, 0), (10, 5, 0)], "doc_id long, quality int, toxic int")
+    model = quality.learn(quality.feature_table(d), labels)
+    assert model.tables and model.pairs
+    got = sorted((str(r.doc_id), round(r.score, 9), r.predicted, r.held_out) for r in quality.classify(d, labels).collect())
+    score = lambda t: by_hand(model, t or "")
+    held = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 5 == 0
+    assert got == sorted((str(i), round(score(t), 9), int(score(t) >= 0.3), held(i)) for i, t, _ in rows)
+    tied = quality.classify(d.where("doc_id = 3 and text = 'word'"), labels).collect()
+    assert len(tied) == 3 and len({r.score for r in tied}) == 1
+
+
 def test_pairs_fold_into_tables():
     rnd = np.random.default_rng(2)
     x = rnd.random((4000, 3))
@@ -380,6 +471,52 @@ def test_pairs_fold_into_tables():
     assert (0, 1) in [tuple(sorted(p)) for p in m.pairs] and ((m.score(x) > 0.5) == y).mean() > 0.9
 
 
+def brute_contaminated(rows, items, threshold=0.6, overlap=0.8, k1=1.2, b=0.75):
+    """Pairs whose BM25 score, worked out from the items' counts for each passage, and shingle shares reach their thresholds."""
+    split = lambda t: re.sub(r"[\x00-/:-@\[-`{-\x7f]", " ", (t or "").lower()).split()
+    own = [(i, split(t), t) for i, t in items if split(t)]
+    mean = sum(len(w) for _, w, _ in own) / max(1, len(own))
+    df: dict = {}
+    for _, w, _ in own:
+        for x in set(w):
+            df[x] = df.get(x, 0) + 1
+    step, out = max([64, *(len(w) for _, w, _ in own)]), set()
+    weight = {}
+    for i, w, t in own:
+        for x in set(w):
+            tf = w.count(x)
+            weight[i, t, x] = math.log(1 + (len(own) - df[x] + 0.5) / (df[x] + 0.5)) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * len(w) / mean))
+    runs = lambda w: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    for d, text in rows:
+        words = split(text)
+        have = {n: {tuple(words[k : k + n]) for k in range(len(words) - n + 1)} for n in range(1, 6)}
+        for i, w, t in own:
+            total = sum(weight[i, t, x] for x in set(w))
+            best = max(sum(weight[i, t, x] for x in set(words[p : p + 2 * step]) & set(w)) / total for p in range(0, len(words) + 1, step))
+            head, _, tail = t.partition("?")
+            q, a = split(head), split(tail)
+            parts = [runs(q), runs(a)] if q and a else [runs(w)]
+            if best >= threshold - 1e-9 and all(sum(s in have[len(s)] for s in p) / len(p) >= overlap - 1e-9 for p in parts):
+                out.add((d, i))
+    return out
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "long"])
+def test_decontaminate_ids_of_any_type(spark, kind):
+    words = [f"w{k}" for k in range(12)]
+    bench = spark.createDataFrame([("7", " ".join(words)), (None, "quite another text of some more words")], "item_id string, text string").withColumn("item_id", F.col("item_id").cast(kind))
+    d = spark.createDataFrame([("3", "before " + " ".join(words)), ("4", "clean"), (None, " ".join(words))], "doc_id string, text string").withColumn("doc_id", F.col("doc_id").cast(kind))
+    out = decontaminate.contaminated(d, bench)
+    assert sorted((str(r.doc_id), str(r.item_id)) for r in out.collect()) == [("3", "7"), ("None", "7")] and out.schema["item_id"].dataType.simpleString() == {"long": "bigint"}.get(kind, kind)
+    assert [str(r.doc_id) for r in decontaminate.clean(d, bench).collect()] == ["4"]
+
+
+def test_long_items_have_an_index_of_their_own(spark):
+    items = [(1, "one two three four five six"), (2, "x " * 3000 + "the end of it"), (3, "seven eight nine ten eleven")]
+    parts = list(decontaminate._slices(spark.createDataFrame(items, "item_id long, text string"), "item_id", "text", 20_000))
+    assert [[i for i, _ in p] for p in parts] == [[1, 3], [2]]
+
+
 def test_decontaminate(spark, docs, none):
     rnd = random.Random(8)
     items = [(i, prose(rnd, rnd.randint(8, 40)).replace(" ", "? ", 1) if i % 3 == 0 else prose(rnd, rnd.randint(3, 90))) for i in range(40)] + [(100, None), (101, ""), (102, items_text := "solely these words make the item up for once")]
@@ -387,29 +524,7 @@ def test_decontaminate(spark, docs, none):
     rows = [(i, prose(rnd, rnd.randint(0, 400)) + " " + (items[i % 40][1].upper() if i % 2 else "") + ", " + prose(rnd, 30)) for i in range(60)] + [(77, items_text), (78, None), (79, " ".join(items_text.split()[:5])), (None, items_text)]
     d = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, item_id long")
     got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(d, bench).collect()}
-    corpus = decontaminate.Corpus()
-    for _, t in items:
-        if w := decontaminate.words(t or ""):
-            corpus.add(w)
-    index = decontaminate.Index([(i, t or "") for i, t in items], corpus)
-    step = max(64, index.longest)
-    want = set()
-    for i, t in rows:
-        w = decontaminate.words(t or "")
-        best: dict = {}
-        for p in range(0, len(w) + 1, step):
-            terms = {index.term[x] for x in w[p : p + 2 * step] if x in index.term}
-            score: dict = {}
-            for k in terms:
-                for o, v in zip(index.ords[k], index.impacts[k]):
-                    score[o] = score.get(o, 0) + v
-            for o, v in score.items():
-                best[o] = max(v, best.get(o, 0))
-        for o, v in best.items():
-            if v >= 0.6 - 1e-9:
-                have = {tuple(w[k : k + n]) for n in (1, 2, 3, 4, 5) for k in range(len(w) - n + 1)}
-                if all(not part or sum(s in have for s in part) / len(part) >= 0.8 for part in index.parts[o]):
-                    want.add((i, index.ids[o]))
+    want = brute_contaminated(rows, items)
     assert got == want and {(77, 102), (None, 102)} <= got and len(got) >= 25
     assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(d, bench, size=7).collect()} == got
     assert decontaminate.contaminated(none, bench).count() == 0 and decontaminate.contaminated(d, bench.limit(0)).count() == 0
@@ -440,6 +555,49 @@ def test_preference(spark):
     assert preference.format_pairs(p.limit(0)).count() == 0
 
 
+def test_conversations_of_odd_turns(spark):
+    turns = [(None, 1, "user", "a"), (None, 2, "assistant", "b"), (5, 2, "assistant", "late"), (5, 1, "user", "u2"), (5, 1, "user", "u1"), (5, None, "system", None), (6, 1, None, "x"), (6, 1, None, "x")]
+    t = spark.createDataFrame([(*r, 9) for r in turns], "conv_id long, turn long, role string, text string, turns int")
+    got = sorted((str(r.conv_id), [tuple(x) for x in r.turns]) for r in preference.conversations(t).collect())
+    assert got == [("5", [("system", ""), ("user", "u1"), ("user", "u2"), ("assistant", "late")]), ("6", [("", "x"), ("", "x")]), ("None", [("assistant", "b")]), ("None", [("user", "a")])]
+    assert preference.conversations(t.limit(0)).count() == 0 and preference.self_negatives(preference.conversations(t.limit(0))).count() == 0
+    pairs = {str(r.pair_id): r for r in preference.self_negatives(preference.conversations(t)).where("pair_id is not null").collect()}
+    assert pairs["5"].rejected[-1].text == preference.REFUSAL and pairs["6"].chosen == pairs["6"].rejected
+
+
+def test_pairs_against_brute_force(spark):
+    rnd = random.Random(21)
+
+    def turn():
+        return rnd.choice([("user", "hi"), ("assistant", "one"), ("assistant", "tw<|o"), ("system", ""), ("user", None), (None, "é😀")])
+
+    rows = []
+    for i in range(120):
+        head = [turn() for _ in range(rnd.randint(0, 4))]
+        rows.append((i % 100, head + [turn() for _ in range(rnd.randint(0, 3))], head + [turn() for _ in range(rnd.randint(0, 3))], "k"))
+    kind = "array<struct<role:string,text:string>>"
+    d = spark.createDataFrame(rows, f"pair_id long, chosen {kind}, rejected {kind}, prompt string")
+
+    def show(ts):
+        text, spans = "", []
+        for role, said in ts:
+            head = f"<|{role.replace('<|', '< |')}|>\n"
+            body = said.replace("<|", "< |") + "<|end|>"
+            if role == "assistant":
+                spans.append((len(text) + len(head), len(text) + len(head) + len(body)))
+            text += head + body + "\n"
+        return text, spans
+
+    want = []
+    for i, c, r, _ in rows:
+        c, r = ([(a or "", b or "") for a, b in x] for x in (c, r))
+        n = next((k for k, (a, b) in enumerate(zip(c, r)) if a != b), min(len(c), len(r)))
+        want.append((i, n, show(c[:n])[0], *show(c[n:]), *show(r[n:])))
+    spans = lambda m: [(x.start, x.end) for x in m]
+    got = [(r.pair_id, r.n_prompt_turns, r.prompt, r.chosen, spans(r.chosen_mask), r.rejected, spans(r.rejected_mask)) for r in preference.format_pairs(d).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_packing(docs, none):
     path = public_tokenizers.path("byte_bpe_50k.json")
     got = packing.pack_documents(docs, path, capacity=64, keep_ids=True, groups=16).collect()
@@ -484,6 +642,42 @@ def test_ids_are_those_of_the_library():
         assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
+def test_configurations_fill_sequences():
+    for sizes, counts, most in (([512, 300, 212], [10, 10, 10], 10.01), ([700, 324], [8, 8], 8.01), ([342], [9], 4.51), ([600, 400], [1, 9], 5.01)):
+        found = packing.configurations(sizes, counts, 1024)
+        assert sum(t for _, t in found) <= most and all(sum(s * m for s, m in zip(sizes, p)) <= 1024 for p, _ in found)
+        assert all(sum(p[i] * t for p, t in found) >= c - 1e-6 for i, c in enumerate(counts))
+
+
+def test_plan_against_search():
+    """Few documents: as few sequences as any packing has."""
+    rnd = random.Random(23)
+
+    def fewest(items, room):
+        best = [len(items)]
+
+        def put(k, bins):
+            if len(bins) >= best[0]:
+                return
+            if k == len(items):
+                best[0] = len(bins)
+                return
+            for i in range(len(bins)):
+                if bins[i] >= items[k] and bins[i] not in bins[:i]:
+                    put(k + 1, [*bins[:i], bins[i] - items[k], *bins[i + 1 :]])
+            put(k + 1, [*bins, room - items[k]])
+
+        put(0, [])
+        return best[0]
+
+    extra = 0
+    for _ in range(40):
+        items = sorted((rnd.randint(1, 64) for _ in range(rnd.randint(1, 11))), reverse=True)
+        counts = {n: items.count(n) for n in items}
+        extra += packing.Plan(counts, capacity=64).sequences - fewest(items, 64)
+    assert 0 <= extra <= 4
+
+
 def test_plan_places_all():
     rnd = random.Random(3)
     counts: dict = {}
