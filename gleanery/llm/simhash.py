@@ -162,7 +162,8 @@ def links(fps: DataFrame, most: int = 4, block: int = BLOCK) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[i].view(np.int64))], names=["key", "fp"])
 
     n = wide(fps.sparkSession)
-    rows = fps.mapInArrow(keyed, "key long, fp long").repartition(n, "key").sortWithinPartitions("key", "fp")
+    # dealt out before they grow to 96 rows each: a file of fingerprints is small, its keys are not
+    rows = fps.repartition(n, "fp").mapInArrow(keyed, "key long, fp long").repartition(n, "key").sortWithinPartitions("key", "fp")
     found = materialize(rows.mapInArrow(_bucket_links(most, block), "kind byte, a long, b long"), "simhash-links")
     out, over = found.where("kind = 0").select("a", "b"), found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("fp"))
     if not over.isEmpty():
