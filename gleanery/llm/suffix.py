@@ -1,7 +1,7 @@
 """Repeated passages across documents, by common-prefix interval trees of enhanced suffix arrays.
 
-A passage of ``width`` bytes belongs to the bucket of the least hash among its 16-byte strings, so all places
-of a passage meet in one bucket. Consecutive passages with the same least hash travel as one string. Each bucket
+A passage of ``width`` bytes belongs to the bucket of the least hash among its strings of 32 bytes (16 where it is short itself), so all
+places of a passage meet in one bucket; strings that long are seldom common but within repeats. Consecutive passages with the same least hash travel as one string. Each bucket
 builds an enhanced suffix array over its distinct strings and scans it with a stack.
 
 Texts stay where they are: they are stored once, in blocks, and tasks exchange packed messages, one per block and bucket. A
@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, heavy_join, materialize, scratch, whole_text, wide
 
-GRAM = 16
+#: Bytes of a passage at least, and of the strings that are hashed within passages of 48 bytes or more.
+GRAM, LONG_GRAM = 16, 32
 BLOCK = 2 << 20
 #: Bytes of text for each bucket, however many there are; with more partitions buckets are smaller.
 BUCKET = 16 << 20
@@ -36,14 +37,16 @@ _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049B
 
 
 def least_hashes(b: np.ndarray, width: int) -> np.ndarray:
-    """For each passage of ``width`` bytes, the least hash of its 16-byte strings."""
+    """For each passage of ``width`` bytes, the least hash of its strings."""
+    gram = LONG_GRAM if width >= LONG_GRAM + GRAM else GRAM
     h = b.astype(np.uint64) + np.uint64(1)
-    for step, odd in zip((1, 2, 4, 8), _ODD):
-        h = h[:-step] * odd + h[step:]
+    for step, odd in zip((1, 2, 4, 8, 16), _ODD):
+        if step < gram:
+            h = h[:-step] * odd + h[step:]
     h ^= h >> np.uint64(31)
     h *= _ODD[4]
     h ^= h >> np.uint64(29)
-    left, step = width - GRAM, 1
+    left, step = width - gram, 1
     while left:
         step = min(step, left)
         h = np.minimum(h[:-step], h[step:])
