@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialize, whole_text, wide
+from .common import bounded_batches, heavy_join, materialize, whole_text, wide
 from .components import components
 from .simhash import links, set_bits, shingle_hashes
 
@@ -153,7 +153,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # buckets of two classes or more; copies are one class, collapsed before the exchange
     band = own.select("k", "n", F.explode("bands").alias("key")).groupBy("key", "k").agg(F.min("n").alias("n"))
     head = band.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "k").alias("o"), "k", "n")).alias("head"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    buckets = materialize(band.join(head, "key").select("key", "k", "n", "m", F.col("head.k").alias("hk"), F.col("head.n").alias("hn")), "near-buckets")
+    met = heavy_join(band, materialize(head.withColumn("c", F.col("m")), "near-heads"), ["key"])
+    buckets = materialize(met.select("key", "k", "n", "m", F.col("head.k").alias("hk"), F.col("head.n").alias("hn")), "near-buckets")
     fits = F.least("n", "hn") >= F.greatest("n", "hn") * F.lit(similarity) - F.lit(1e-9)
     pairs = buckets.where((F.col("k") != F.col("hk")) & fits).select(F.col("hk").alias("a"), F.col("k").alias("b"))
 
@@ -190,7 +191,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     dealt = dealt.join(sets, "k").select("key", "k", "root", "own").repartition(wide(spark), "key").sortWithinPartitions("key")
     more = materialize(dealt.mapInArrow(_across(similarity), "a binary, b binary"), "near-links")
 
-    roots, root = _roots(found.unionByName(more), F.col("k"))
+    if not more.isEmpty():
+        roots, root = _roots(found.unionByName(more), F.col("k"))
     return own.select("doc_id", "h", "k").join(roots, F.col("k") == F.col("_node"), "left").select("doc_id", "h", root.alias("grp"))
 
 
@@ -203,7 +205,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = materialize(similar_groups(docs, id_col, text_col, width, similarity, most, block), "near-groups")
     place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("h").alias("h"))
     least = groups.groupBy("grp").agg(F.min(place).alias("least"), F.max(place).alias("final"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    lost = groups.join(least, "grp").select("doc_id", "h", (place == F.col("least")).alias("stays"))
+    lost = heavy_join(groups, materialize(least, "near-least"), ["grp"]).select("doc_id", "h", (place == F.col("least")).alias("stays"))
     lost = materialize(lost.groupBy("doc_id", "h").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("c")).where("not stays or c > 1"), "near-lost")
     text, row = whole_text(text_col), F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     keyed = docs.select(row.alias("row"), F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("h"))
