@@ -8,7 +8,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -249,9 +248,9 @@ def _pass(shared, threshold: float, overlap: float, item_kind: pa.DataType):
 def flag(shared, threshold: float, overlap: float):
     """A column function text -> whether it holds an item of the index."""
 
-    @F.pandas_udf("boolean")
-    def held(texts: pd.Series) -> pd.Series:
-        return pd.Series([bool(held_items(shared.value, t, threshold, overlap)) for t in texts], dtype=bool)
+    @F.arrow_udf("boolean")
+    def held(texts: pa.Array) -> pa.Array:
+        return pa.array([bool(held_items(shared.value, t.as_py(), threshold, overlap)) for t in texts], pa.bool_())
 
     return lambda name: held(whole_text(name))
 

@@ -7,7 +7,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -214,8 +213,8 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 def scorer(model: AdditiveModel):
     """A column function text -> score, for use where the rows must keep their other columns."""
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.array([features(t) for t in texts], np.float64).reshape(len(texts), len(FEATURES))))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(model.score(np.array([features(t.as_py()) for t in texts], np.float64).reshape(len(texts), len(FEATURES))))
 
     return lambda name: score(whole_text(name))
