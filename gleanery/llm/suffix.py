@@ -336,7 +336,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def _exchange(sent: DataFrame, buckets: int, answer) -> DataFrame:
-    return sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(answer, "block_id string, bucket int, reply binary")
+    # a bucket to a task each: hashed, some tasks would get several and others none
+    return sent.repartitionById(buckets, F.col("bucket")).groupBy("bucket").applyInArrow(answer, "block_id string, bucket int, reply binary")
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
