@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import bounded_batches, materialize, wide
 
 SLICE = 1 << 20
 
@@ -82,18 +82,38 @@ def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return rows.mapInArrow(run, f"k1 long, k2 long, doc_id {kind}, text_hash long, start int")
 
 
+#: Documents of which the common chunks are taken.
+SAMPLE = 20_000
+
+
+def _common(docs: DataFrame, id_col: str, text_col: str, least: int, bits: int, most: int, share: int = 4) -> DataFrame:
+    """(k1, k2) of the chunks that have more than one in ``share`` times the partitions of a sample's places, which so many have at most."""
+    spark = docs.sparkSession
+    part = docs.sample(min(1.0, SAMPLE / max(1, docs.count())), seed=1)
+    counts = materialize(chunk_table(part, id_col, text_col, least, bits, most).groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "chunk-sample")
+    total = counts.agg(F.sum("c")).first()[0] or 0
+    return counts.where(F.col("c") > total / (share * wide(spark))).select("k1", "k2")
+
+
 def dedup_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 32, bits: int = 6, most: int = 256) -> DataFrame:
     """Removes every chunk whose digest also stands earlier, by (doc_id, place), in this or another text.
 
     One row per input row: doc_id, text (what is left), n_bytes, n_removed, n_spans (maximal removed runs). Boundaries depend on the 32 bytes
     before them, so an insertion shifts one or two chunks only and the others are found again. Digests have 128 bits. Places are
-    ranked in one exchange of ids and digests, so small chunks are affordable; the places of one very common chunk meet in one task, without texts.
+    ranked in one exchange of ids and digests, so small chunks are affordable; those of a very common chunk are ranked in as many parts as there
+    are partitions, and then the first of each part among themselves. Which chunks are that common a sample tells, which steers the work alone.
 
     Chunks shorter than ``least`` bytes (ends of texts) always stay. Null text counts as empty. Null doc_ids come last in the order. Rows that
     repeat both doc_id and text are one place and fare alike. No rows give no rows; other columns are ignored.
     """
-    order = Window.partitionBy("k1", "k2").orderBy(F.col("doc_id").asc_nulls_last(), "text_hash", "start")
-    later = chunk_table(docs, id_col, text_col, least, bits, most).withColumn("place", F.rank().over(order)).where("place > 1")
+    key, order = ["k1", "k2"], [F.col("doc_id").asc_nulls_last(), F.col("text_hash"), F.col("start")]
+    heavy = _common(docs, id_col, text_col, least, bits, most).select(*key, F.lit(wide(docs.sparkSession)).alias("parts"))
+    each = chunk_table(docs, id_col, text_col, least, bits, most).join(F.broadcast(heavy), key, "left")
+    each = each.withColumn("part", F.coalesce(F.pmod(F.xxhash64("doc_id", "text_hash"), F.col("parts")), F.lit(0).cast("long")))
+    each = each.withColumn("place", F.rank().over(Window.partitionBy(*key, "part").orderBy(*order)))
+    found = materialize(each.where((F.col("place") > 1) | F.col("parts").isNotNull()), "chunk-places")
+    firsts = found.where("place = 1").withColumn("place", F.rank().over(Window.partitionBy(*key).orderBy(*order)))
+    later = found.where("place > 1").unionByName(firsts.where("place > 1"))
     marks = later.groupBy(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash")).agg(F.collect_set("start").alias("starts"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     left = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
