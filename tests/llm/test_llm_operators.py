@@ -300,6 +300,12 @@ def test_passages(docs, none, width):
     assert suffix.repeated_passages(none).count() == 0
 
 
+def test_passages_of_a_whole_table(spark):
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = suffix.repeated_passages(d, contents=False).collect()
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256) for r in got) == brute_passages(pairs_of(d), 50)
+
+
 def test_maximal_repeats():
     strings = [b"xxabcdefghijklmnopqrstuvw1", b"yyabcdefghijklmnopqrstuvw2", b"zzabcdefghijklmnopqrs3", b"xxabcdefghijklmnopqrs4"]
     sa, lcp, text, start = suffix.sort_suffixes(strings, 16)
