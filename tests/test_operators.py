@@ -150,6 +150,46 @@ def test_first_fit_rows(spark):
     assert {(r.g, r.i) for r in got} == want and len(got) == len(want)
 
 
+def test_upserts_and_compaction(spark, tmp_path):
+    from gleanery.streaming import streams
+
+    table, checkpoint, source = (str(tmp_path / n) for n in ("table", "checkpoint", "source"))
+
+    def arrive(rows):
+        spark.createDataFrame(rows, "k long, seq long, v string").coalesce(1).write.mode("append").parquet(source)
+        streams.upsert_latest(streams.read_stream(spark, source, spark.read.parquet(source).schema), "k", "seq", table, checkpoint)
+
+    view = lambda: {r.k: r.v for r in streams.latest_view(spark, table, "k", "seq").collect()}
+    batches = lambda: sorted(r[0] for r in spark.read.parquet(table).select("batch").distinct().collect())
+    arrive([(1, 1, "a"), (2, 2, "b"), (1, 3, "c")])
+    arrive([(2, 5, "d"), (3, 4, "e")])
+    arrive([(1, 2, "late")])
+    assert view() == {1: "c", 2: "d", 3: "e"} and batches() == [0, 1, 2]
+    streams.compact(spark, table, "k", "seq")
+    assert view() == {1: "c", 2: "d", 3: "e"} and batches() == [2]
+    arrive([(3, 9, "f")])
+    assert view() == {1: "c", 2: "d", 3: "f"} and batches() == [2, 3]
+
+
+def test_late_rows_are_dropped(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    from gleanery.streaming import streams
+
+    table, checkpoint, source = (str(tmp_path / n) for n in ("table", "checkpoint", "source"))
+    start = datetime(2024, 1, 1)
+
+    def arrive(*hours):
+        spark.createDataFrame([(start + timedelta(hours=h), "x") for h in hours], "ts timestamp, kind string").coalesce(1).write.mode("append").parquet(source)
+        s = streams.read_stream(spark, source, spark.read.parquet(source).schema)
+        streams.drain_to_table(streams.windowed_counts(s, "ts", ["kind"], "1 hour", late="2 hours"), table, checkpoint)
+
+    arrive(0.2, 0.4, 5.5)
+    arrive(0.3, 4.5, 9.0)  # the first is later than the watermark of 3.5, the second is not
+    got = {(r.window_start - start).seconds // 3600: r.n for r in spark.read.parquet(table).collect()}
+    assert got == {0: 2, 4: 1, 5: 1}
+
+
 def test_scratch(spark, tmp_path, monkeypatch):
     from gleanery.plans import tables
 
