@@ -5,7 +5,9 @@ Rows that both engines need are written as one SELECT in the SQL that they share
 
 from __future__ import annotations
 
+import hashlib
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from .operators import checks, code, planning, recheck, refine, release, retriev
 from .plans.progress import Progress
 from .plans.stages import Plan
 from .plans.tables import materialize, scratch
-from .registry import as_duckdb, big, query, read, shared_sql
+from .registry import SQL, as_duckdb, big, query, read, shared_sql
 from .sources import jsonl, models, tools
 from .streaming import streams
 
@@ -149,6 +151,83 @@ def item_prompts(spark: SparkSession, d: str) -> DataFrame:
     return _questions(spark, d).select("id", *[F.sha2(c, 256).alias(n) for n, c in made.items()])
 
 
+# Stages with models
+
+
+class _Down:
+    """A model that always fails."""
+
+    name = "down"
+
+    def generate(self, prompts: list[str]) -> list[str]:
+        raise OSError("down")
+
+
+class _Asker:
+    """A stub that asks two good questions and a bad one about any text."""
+
+    name = "asker"
+
+    def generate(self, prompts: list[str]) -> list[str]:
+        return [self._ask(hashlib.sha256(p.encode()).hexdigest()) for p in prompts]
+
+    def _ask(self, h: str) -> str:
+        asked = [f"How is {h[:8]} set up with it here?", "Why?", f"What of {h[8:16]} when it fails here?"]
+        return "Sure.\n" + json.dumps([{"question": q, "type": "how-to", "difficulty": "expert", "focus": h[:6]} for q in asked])
+
+
+@query(f"""WITH {_Q}, p AS (SELECT q.source_key, sha256('Text:' || chr(10) || d.text || chr(10) || chr(10) || 'Ask 3 questions of different types and levels that this text answers, as a JSON array of question, type, difficulty and focus.') AS h FROM q JOIN documents d ON d.doc_id = q.seq),
+a AS (SELECT source_key, substr(h, 1, 6) AS focus, unnest(['How is ' || substr(h, 1, 8) || ' set up with it here?', 'What of ' || substr(h, 9, 8) || ' when it fails here?']) AS question FROM p)
+SELECT 'q_' || substr(sha256(source_key || question), 1, 10) AS id, question, focus, 'asker' AS model FROM a""")
+def generated_questions(spark: SparkSession, d: str) -> DataFrame:
+    """Questions of a model about every whole document: prompt, reply, valid rows."""
+    x = _questions(spark, d).join(read(spark, d, "documents").select(F.col("doc_id").alias("seq"), "text"), "seq")
+    asked = x.select("source_key", "source_kind", "area", F.lit(3).alias("n"), review.question_prompt(F.col("text"), _none(), F.lit(3)).alias("prompt"))
+    return review.question_rows(materialize(models.generate(asked, _Asker()), "asked")).select("id", "question", "focus", "model")
+
+
+def _batch_prompts(b: DataFrame, keys: list[str], item: Column) -> DataFrame:
+    listed = F.array_sort(F.collect_list(F.struct("pos", item.alias("item"))))
+    return b.groupBy(*keys).agg(F.array_join(F.transform(listed, lambda x: x["item"]), "\n\n").alias("prompt"), F.count(F.lit(1)).alias("size"))
+
+
+def _context_of(id_col: str = "id") -> Column:
+    return F.array(F.struct(F.lit("https://a.test/").alias("url"), F.concat(F.lit("About "), F.col(id_col)).alias("content")))
+
+
+def _write_sections(prompt: str) -> str:
+    found = re.findall(r"^# Question (\d+)\n(.*)$", prompt, re.M)
+    return "\n".join(f"=====ANSWER {n}=====\n{hashlib.sha256(q.encode()).hexdigest()[:16]}" for n, q in found if n != "3")
+
+
+@query(f"WITH {_Q}, b AS (SELECT *, (row_number() OVER (PARTITION BY lang ORDER BY seq) - 1) % 6 + 1 AS pos FROM q), s AS (SELECT *, count(*) OVER (PARTITION BY lang, batch) AS size FROM (SELECT *, (row_number() OVER (PARTITION BY lang ORDER BY seq) - 1) // 6 AS batch FROM b)) SELECT id, substr(sha256(question), 1, 16) AS answer, 'writer' AS model FROM s WHERE pos <> 3")
+def generated_answers(spark: SparkSession, d: str) -> DataFrame:
+    """Answers of a model in batches of six: prompts with context and links, replies in sections; it leaves out each third, which stays for the next run."""
+    b = materialize(planning.batches(_questions(spark, d).drop("model"), 6, [F.col("seq")], ["lang"]), "batches")
+    p = _batch_prompts(b, ["lang", "batch"], review.answer_item(F.col("pos"), F.col("question"), _texts("https://a.test/"), _context_of()))
+    replies = materialize(models.generate(p, models.StubModel("writer", _write_sections)), "replies")
+    return review.section_answers(b, replies, ["lang", "batch"]).select("id", "answer", "model")
+
+
+def _judge_reply(prompt: str) -> str:
+    found = re.findall(r"^# Item (\d+)\nQuestion: (.*)$", prompt, re.M)
+    kinds = [(n, hashlib.sha256(q.encode()).hexdigest()[0]) for n, q in found]
+    return json.dumps([{"i": n, "verdict": "pass" if h < "8" else "reject", "accuracy": 5, "version": "4", "usefulness": "high", "concise": 3, "issues": h * 500} for n, h in kinds])
+
+
+@query(f"WITH {_Q} SELECT id, CASE WHEN substr(sha256(question), 1, 1) < '8' THEN 'pass' ELSE 'reject' END AS verdict, CAST(5 AS DOUBLE) AS accuracy, CAST(0 AS DOUBLE) AS usefulness, repeat(substr(sha256(question), 1, 1), 400) AS issues, true AS by_another FROM q")
+def judged_answers(spark: SparkSession, d: str) -> DataFrame:
+    """Verdicts on answers in batches of eight within the writer, by the first of three models that is up and not the writer."""
+    q = _questions(spark, d).withColumnRenamed("model", "writer")
+    b = materialize(planning.batches(q, 8, [F.col("seq")], ["writer"]), "batches")
+    item = review.judge_item(F.col("pos"), F.col("question"), F.concat(F.lit("It is "), "id"), _texts("https://a.test/"), _context_of())
+    failover = models.Failover([_Down(), models.StubModel("m1", _judge_reply), models.StubModel("m2", _judge_reply)], clock=lambda: 0.0, sleep=lambda s: None)
+    asked = _batch_prompts(b, ["writer", "batch"], item)
+    replies = materialize(models.generate(asked, failover, accept=lambda s: s.startswith("["), writer="writer"), "verdicts")
+    out = review.verdicts(b, replies, ["writer", "batch"]).join(b.select("id", "writer"), "id")
+    return out.select("id", "verdict", "accuracy", "usefulness", "issues", (F.col("judge") != F.col("writer")).alias("by_another"))
+
+
 # Checks of answers
 
 _BASE = "Set the option in the file and it is read at the start of each run, as the guide has it. "
@@ -400,6 +479,13 @@ def dumped_lines(spark: SparkSession, d: str) -> DataFrame:
 # Texts and code
 
 
+@query(r"""SELECT page_id, array_to_string(list_slice(list_filter(list_transform(regexp_extract_all(replace(html, 'h1', 'h2'), '(?s)<h2[^>]*>(.*?)</h2>', 1) || ['On this page', 'Part ' || page_id, ' '] || list_transform(range(0, 40), lambda i: 'Sub ' || i), lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&[#a-zA-Z0-9]+;', ' ', 'g'))), lambda x: x <> '' AND lower(x) <> 'on this page'), 1, 25), '|') AS headings FROM pages""")
+def sub_headings(spark: SparkSession, d: str) -> DataFrame:
+    """Headings of the second and third level without empty and boilerplate ones, the first 25."""
+    more = F.concat(F.lit("<h2>On this page</h2><h3 id='x'><b>Part "), F.col("page_id").cast("string"), F.lit("</b></h3><h2>&nbsp;</h2>" + "".join(f"<h3>Sub {i}</h3>" for i in range(40))))
+    return read(spark, d, "pages").select("page_id", F.array_join(T.headings(F.concat(F.replace("html", F.lit("h1"), F.lit("h2")), more)), "|").alias("headings"))
+
+
 @query(r"""SELECT page_id, '/p' || page_id || ' ' || 'https://x.test/' || (page_id % 3) AS targets, 'Title ' || page_id AS title, 'body ' || page_id AS rest, CAST(2 AS BIGINT) AS n FROM pages""")
 def markdown_parts(spark: SparkSession, d: str) -> DataFrame:
     """Links of markdown in order, each target once, and a document's title and text without its front matter."""
@@ -507,6 +593,14 @@ def release_failures(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
+@query(f"""WITH f AS ({SQL["release_failures"]}), n AS (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY id NULLS FIRST, detail) AS k FROM f),
+s AS (SELECT rule, id, detail FROM n WHERE rule <> 'near-duplicate' OR k <= 10 UNION ALL SELECT 'near-duplicates', NULL, (count(*) - 10) || ' more' FROM f WHERE rule = 'near-duplicate' HAVING count(*) > 10)
+SELECT * FROM s ORDER BY rule, id NULLS FIRST, detail LIMIT 40""")
+def failure_report(spark: SparkSession, d: str) -> DataFrame:
+    """The failures as they are listed for people."""
+    return validate.report(materialize(release_failures(spark, d), "failures"))
+
+
 @query("SELECT true AS passes, CAST(0 AS BIGINT) AS failures, count(*) AS examples FROM documents")
 def clean_release(spark: SparkSession, d: str) -> DataFrame:
     """A release that breaks no rule is accepted."""
@@ -713,13 +807,6 @@ def embedded_texts(spark: SparkSession, d: str) -> DataFrame:
     return out.select("item_id", F.col("vector")[0].alias("chars"), F.col("vector")[1].alias("es"))
 
 
-class _Down:
-    name = "down"
-
-    def generate(self, prompts: list[str]) -> list[str]:
-        raise OSError("down")
-
-
 def _last_letter(prompt: str) -> str:
     return f"reply {prompt[-1]}"
 
