@@ -280,7 +280,7 @@ def vocabulary_by_language(spark: SparkSession, d: str) -> DataFrame:
 
     docs = read(spark, d, "documents")
     out = None
-    for lang in ("de", "en", "es", "fr"):
+    for lang in sorted(r[0] for r in docs.select("lang").distinct().collect()):
         part = vocabulary(docs.where(F.col("lang") == lang), "text").agg(F.count(F.lit(1)).alias("tokens"), F.sum(F.length("token")).alias("chars")).where("tokens > 0").select(F.lit(lang).alias("lang"), "tokens", "chars")
         out = part if out is None else out.unionByName(part)
     return out
