@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from gleanery.llm import chunks, decontaminate, exact_dedup, golay, line_dedup, near_copies, packing, preference, quality, queries, simhash, suffix, warc
+from gleanery.llm.common import heavy_join
 from gleanery.llm.components import components
 from pyspark.sql import functions as F
 
@@ -77,6 +78,17 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_heavy_join_is_a_join(spark, how):
+    rnd = random.Random(13)
+    rows = spark.createDataFrame([(rnd.choice((1, 1, 1, 2, 3)) if rnd.random() < 0.7 else rnd.randint(4, 300), None if i % 9 == 0 else i % 2, i) for i in range(3000)], "k long, m int, v long").repartition(5)
+    found = rows.where("m is not null and k % 3 <> 0").groupBy("k", "m").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("least"))
+    for f in (found, found.where("c < 20"), found.limit(0)):
+        f = spark.createDataFrame(f.collect(), f.schema)
+        got, want = heavy_join(rows, f, ["k", "m"], how=how), rows.join(f.drop("c"), ["k", "m"], how)
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def test_golay_keys_meet():
     rnd = np.random.default_rng(3)
     a = rnd.integers(0, 2**64, 400, dtype=np.uint64)
