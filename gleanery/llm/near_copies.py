@@ -159,17 +159,18 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pairs = buckets.where((F.col("k") != F.col("hk")) & fits).select(F.col("hk").alias("a"), F.col("k").alias("b"))
 
     # fingerprints at a few bits
-    by_fp = materialize(own.groupBy("fp").agg(F.min("k").alias("k"), F.max("k").alias("last")), "near-prints")
+    prints = own.select("fp", "k").distinct()  # copies are one
+    by_fp = materialize(prints.groupBy("fp").agg(F.min("k").alias("k"), F.max("k").alias("last")), "near-prints")
     close = links(by_fp.select("fp"), most)
     of = by_fp.select("fp", "k")
     pairs = pairs.unionByName(close.join(of.select(F.col("fp").alias("a"), F.col("k").alias("ka")), "a").join(of.select(F.col("fp").alias("b"), F.col("k").alias("kb")), "b").select(F.col("ka").alias("a"), F.col("kb").alias("b")))
     several = by_fp.where("k <> last").select("fp", F.col("k").alias("a"))
-    pairs = pairs.unionByName(own.select("fp", F.col("k").alias("b")).join(several, "fp").where("a <> b").select("a", "b"))
+    pairs = pairs.unionByName(prints.select("fp", F.col("k").alias("b")).join(several, "fp").where("a <> b").select("a", "b"))
     pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
 
     # the sets of those classes, of one text each
     need = pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k"))).unionByName(buckets.where("m > 2").select("k")).distinct()
-    one = own.join(need, "k", "left_semi").groupBy("k").agg(F.min(F.struct(F.col("doc_id").alias("d"), F.col("h").alias("h"))).alias("r"))
+    one = own.groupBy("k").agg(F.min(F.struct(F.col("doc_id").alias("d"), F.col("h").alias("h"))).alias("r")).join(need, "k", "left_semi")
     one = materialize(one.select("k", F.col("r.d").alias("r_d"), F.col("r.h").alias("r_h")), "near-needed")
     texts = keyed.join(one, F.col("doc_id").eqNullSafe(F.col("r_d")) & (F.col("h") == F.col("r_h"))).select("k", "text")
     sets = materialize(texts.mapInArrow(_sets(width), "k binary, own array<long>").dropDuplicates(["k"]), "near-sets")
