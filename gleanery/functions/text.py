@@ -144,16 +144,17 @@ def split_sections(text: Column, tag: str) -> Column:
 
 def loose_json(text: Column) -> Column:
     """The first JSON text within: a fence's body, else the outermost brackets, else the outermost braces; null if none parses."""
-    body = F.regexp_extract(text, r"```(?:json)?\s*([\s\S]*?)```", 1)
-    s = F.when(body != "", body).otherwise(text)
+    def outer(s: Column, left: str, right: str) -> Column:
+        at = F.struct(F.locate(left, s).alias("a"), F.locate(right, F.reverse(s)).alias("z"), F.length(s).alias("n"))
+        return let(at, lambda p: F.when((p["a"] > 0) & (p["z"] > 0) & (p["n"] - p["z"] + 1 > p["a"]), F.substring(s, p["a"], p["n"] - p["z"] - p["a"] + 2)))
 
-    def outer(left: str, right: str) -> Column:
-        a, b = F.locate(left, s), F.length(s) - F.locate(right, F.reverse(s)) + 1
-        return F.when((a > 0) & (F.locate(right, F.reverse(s)) > 0) & (b > a), F.substring(s, a, b - a + 1))
+    def parsed(c: Column) -> Column:
+        return let(c, lambda c: F.when(F.regexp_like(c, F.lit(r"^\s*[\[{]")) & F.try_parse_json(c).isNotNull(), c))
 
-    candidates = F.array(s, outer("[", "]"), outer("{", "}"))
-    ok = F.filter(candidates, lambda c: c.isNotNull() & F.regexp_like(c, F.lit(r"^\s*[\[{]")) & F.try_parse_json(c).isNotNull())
-    return F.trim(F.get(ok, F.lit(0)))
+    # a reply is searched once, and brackets only if it doesn't parse as it is
+    body = F.regexp_extract(text, r"```(?:json)?\s*([\s\S]*?)```", 1)
+    whole = let(body, lambda b: F.when(b != "", b).otherwise(text))
+    return let(whole, lambda s: F.trim(F.coalesce(parsed(s), parsed(outer(s, "[", "]")), parsed(outer(s, "{", "}")))))
 
 
 def strip_ansi(text: Column) -> Column:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Used only where a local session, as in tests, names no shared folder.
 FALLBACK_DIR = "/tmp/checkpoints/gleanery"
@@ -35,6 +36,12 @@ def clear_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def dealt(rows: DataFrame, *by: Column | str) -> DataFrame:
+    """Rows dealt over all shuffle partitions by what is given, for steps whose work is large and whose bytes are few: adaptive execution
+    would merge such rows into one task, and leave them so where they are grouped by the same columns, hence the hash."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), F.xxhash64(*by))
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
