@@ -388,3 +388,16 @@ def test_reviews_are_parsed_once_in_many_tasks(spark):
     assert rows == {str(i): i % 2 == 0 for i in range(400) if i // 40 != 3}
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parse_json") <= 3 and "RepartitionByExpression" in plan
+
+
+def test_jaccard_pairs_of_sets_with_one_id(spark):
+    """An id with two sets had the prefixes of both counted as one, which let very frequent shingles in: pairs by the square."""
+    rows = [(f"{i}", f"what is a{i} for b{i} there") for i in range(60)] + [(f"{i}", f"what is a{i} for b{i} there once more with other words than before") for i in range(60)]
+    rows += [(f"x{i}", f"w{i} v{i} u{i} t{i} s{i} r{i} q{i} p{i} o{i} " + "n m l"[: i % 2 * 3]) for i in (1, 2)] + [("y2", "w2 v2 u2 t2 s2 r2 q2 p2 o2 other"), ("y1", "w1 v1 u1 t1 s1 r1 q1 p1")]
+    data = spark.createDataFrame(rows, "id string, text string")
+    sets = [(r.rep, set(r.own)) for r in dedup.shingle_sets(data, "id", "text").collect()]
+    want = sorted((x, y, len(a & b) / len(a | b)) for x, a in sets for y, b in sets if x < y and len(a) >= 4 and len(b) >= 4 and len(a & b) / len(a | b) > 0.7)
+    got = dedup.jaccard_pairs(dedup.shingle_sets(data, "id", "text"), 0.7)
+    assert len(want) >= 1 and sorted(map(tuple, got.collect())) == want
+    files = got.inputFiles()
+    assert spark.read.parquet(*[f for f in files if "shingle-candidates" in f]).count() <= 10
