@@ -277,8 +277,7 @@ SELECT unnest(kept) AS id FROM g WHERE r = (SELECT max(r) FROM g)"""
 
 @query(f"WITH RECURSIVE p AS ({_PAIRS}), " + _GREEDY.format("(SELECT vec_id AS id FROM embeddings)"))
 def greedy_semantic_dedup(spark: SparkSession, d: str) -> DataFrame:
-    v = _vectors(spark, d)
-    return dedup.greedy(v, dedup.cosine_pairs(v, 0.35)).select("id")
+    return dedup.greedy_vectors(_vectors(spark, d), 0.35).select("id")
 
 
 @query(f"WITH RECURSIVE p AS ({_PAIRS}), k AS (SELECT vec_id AS id FROM embeddings WHERE label % 2 = 0), f AS (SELECT vec_id AS id FROM embeddings WHERE label % 2 = 1 AND vec_id NOT IN (SELECT a FROM p WHERE b IN (SELECT id FROM k)) AND vec_id NOT IN (SELECT b FROM p WHERE a IN (SELECT id FROM k))), " + _GREEDY.format("f"))

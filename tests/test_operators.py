@@ -401,3 +401,30 @@ def test_jaccard_pairs_of_sets_with_one_id(spark):
     assert len(want) >= 1 and sorted(map(tuple, got.collect())) == want
     files = got.inputFiles()
     assert spark.read.parquet(*[f for f in files if "shingle-candidates" in f]).count() <= 10
+
+
+def test_vectors_in_blocks(spark):
+    """Every vector went to nearly every pivot's cell; now blocks are read where they lie and greedy passes list no pairs."""
+    import random
+
+    rnd = random.Random(5)
+    vs = [[rnd.gauss(0, 1) for _ in range(4)] for _ in range(150)] + [[0.0] * 4]
+    norm = lambda v: sum(x * x for x in v) ** 0.5
+    near = lambda i, j: i < 150 and j < 150 and sum(a * b for a, b in zip(vs[i], vs[j])) / norm(vs[i]) / norm(vs[j]) > 0.8
+    df = spark.createDataFrame([(i, v, 200 - i) for i, v in enumerate(vs)], "id long, vector array<double>, rank long")
+    pairs = dedup.cosine_pairs(df, 0.8, part=16)
+    assert sorted((r.a, r.b) for r in pairs.collect()) == [(i, j) for i in range(150) for j in range(i + 1, 150) if near(i, j)]
+    assert not any("pivot-visits" in f for f in pairs.inputFiles())
+    kept: list[int] = []
+    for i in reversed(range(151)):
+        if not any(near(i, k) for k in kept):
+            kept.append(i)
+    for head in (7, 20_000):
+        assert sorted(r.id for r in dedup.greedy_vectors(df, 0.8, head=head).collect()) == sorted(kept)
+    rest = [i for i in reversed(range(151)) if i % 2 and not any(near(i, k) for k in range(0, 151, 2))]
+    want: list[int] = []
+    for i in rest:
+        if not any(near(i, k) for k in want):
+            want.append(i)
+    assert sorted(r.id for r in dedup.recheck(df.where("id % 2 = 1"), df.where("id % 2 = 0"), 0.8).collect()) == sorted(want)
+    assert dedup.recheck(df.where("id % 2 = 1"), df.limit(0), 0.8).count() > 0 and dedup.greedy_vectors(df.limit(0), 0.8).count() == 0
