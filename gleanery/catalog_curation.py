@@ -691,7 +691,8 @@ def answer_context(spark: SparkSession, d: str) -> DataFrame:
     items, docs = read(spark, d, "benchmark"), read(spark, d, "documents")
     q = materialize(items.select(F.col("item_id").alias("id"), F.col("text").alias("question"), F.when(F.col("item_id") % 3 == 0, "spec").otherwise("docs").alias("source_kind"), key("item_id").alias("source_key")), "asked")
     best = retrieval.top_overlap(q.select(F.col("id").alias("query_id"), F.col("question").alias("query_text")), docs.select(F.col("doc_id").alias("key"), F.col("text").alias("content")), 4)
-    hits = best.join(docs.select(F.col("doc_id").alias("key"), F.col("text").alias("content")), "key")
+    # four rows an item: the texts of all others stay where they are
+    hits = docs.select(F.col("doc_id").alias("key"), F.col("text").alias("content")).join(F.broadcast(materialize(best, "best")), "key")
     hits = hits.select(F.col("query_id").alias("id"), F.lit(0).alias("query"), "rank", F.concat(F.lit("https://d.test/"), F.col("key").cast("string")).alias("url"), "content")
     chunks = planning.text_windows(docs.select("doc_id", "text"), "text", 900).select(key("doc_id").alias("url"), (F.col("doc_id") * 100000 + F.col("window")).alias("seq"), F.col("part").alias("content"))
     body = F.concat(F.lit("---\ntitle: x\n---body "), F.repeat(F.lit("word "), F.lit(700)))

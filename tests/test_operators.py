@@ -428,3 +428,13 @@ def test_vectors_in_blocks(spark):
             want.append(i)
     assert sorted(r.id for r in dedup.recheck(df.where("id % 2 = 1"), df.where("id % 2 = 0"), 0.8).collect()) == sorted(want)
     assert dedup.recheck(df.where("id % 2 = 1"), df.limit(0), 0.8).count() > 0 and dedup.greedy_vectors(df.limit(0), 0.8).count() == 0
+
+
+def test_page_chunks_move_no_content(spark):
+    """Each question met all chunks of its page in a join, each pair with the chunk's content."""
+    chunks = spark.createDataFrame([("u", i, f"word{i % 7} Word{i % 5} text") for i in range(40)] + [("u", 40, None), ("v", 1, "none")], "url string, seq long, content string")
+    q = spark.createDataFrame([(1, "word3 word4?", "u", "docs"), (2, "nothing alike", "u", "docs"), (3, "word1", "u", "spec"), (4, None, "v", "docs"), (5, "word1", None, "docs")], "id int, question string, source_key string, source_kind string")
+    out = retrieval.page_chunks(q, chunks, 2)
+    assert sorted((r.id, r.rank, r.content) for r in out.collect()) == [(1, 1, "word4 Word3 text"), (1, 2, "word3 Word4 text"), (2, 1, "word0 Word0 text"), (2, 2, "word1 Word1 text"), (4, 1, "none")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "broadcast" in plan
