@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..plans.tables import bounded_batches
 
 
 class TextModel(Protocol):
@@ -191,9 +192,12 @@ def generate(df: DataFrame, model: TextModel | Failover, prompt: str = "prompt",
         spent = (time.monotonic() - began) * 1000
         return (found[1], found[0], None, spent) if found else (None, None, "no model gave a usable reply", spent)
 
+    # prompts and replies of so many rows at a time are in memory, whatever a batch holds
+    step = batch * max(1, 256 // batch)
+
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         asked = 0
-        for pdf in parts:
+        for pdf in (whole.iloc[at : at + step] for whole in parts for at in range(0, len(whole), step)):
             rows: list[tuple] = []
             if isinstance(model, Failover):
                 for p, w in zip(pdf[prompt], pdf[writer] if writer else [None] * len(pdf)):
@@ -207,6 +211,7 @@ def generate(df: DataFrame, model: TextModel | Failover, prompt: str = "prompt",
             reply, name, error, ms = zip(*rows) if rows else ((),) * 4
             yield pdf.assign(reply=pd.Series(reply, pdf.index, object), model=pd.Series(name, pdf.index, object), error=pd.Series(error, pdf.index, object), ms=pd.Series(ms, pdf.index, float))
 
+    bounded_batches(df.sparkSession)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in ("reply", "model", "error", "ms"))
     return df.drop("reply", "model", "error", "ms").mapInPandas(run, f"{kinds}, reply string, model string, error string, ms double")
 

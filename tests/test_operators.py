@@ -438,3 +438,12 @@ def test_page_chunks_move_no_content(spark):
     assert sorted((r.id, r.rank, r.content) for r in out.collect()) == [(1, 1, "word4 Word3 text"), (1, 2, "word3 Word4 text"), (2, 1, "word0 Word0 text"), (2, 2, "word1 Word1 text"), (4, 1, "none")]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "broadcast" in plan
+
+
+def test_generate_bounds_its_batches(spark):
+    """Prompts came 10,000 at a time, however long, with all their replies beside them."""
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    df = spark.range(700).coalesce(1).select("id", F.concat(F.lit("p"), F.col("id").cast("string")).alias("prompt"))
+    out = models.generate(df, models.Failover([models.StubModel("a", lambda p: "r" + p), models.StubModel("b", lambda p: "r" + p)]))
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(4 << 20)
+    assert sorted((r.id, r.reply, r.model) for r in out.collect()) == [(i, f"rp{i}", "ab"[i % 2]) for i in range(700)]
