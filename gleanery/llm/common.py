@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.tables import materialize, scratch, shared_dir
 
-__all__ = ["bounded_batches", "heavy_join", "materialize", "scratch", "shared_dir", "whole_text", "wide"]
+__all__ = ["bounded_batches", "heavy_join", "materialize", "scratch", "shared_dir", "small_reads", "whole_text", "wide"]
 
 
 def whole_text(name: str) -> Column:
@@ -28,6 +31,21 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
+@contextmanager
+def small_reads(spark: SparkSession, rows: int = 512) -> Iterator[None]:
+    """Within it, Parquet is read ``rows`` rows at once at most: columns of 4,096 long texts are arrays so large that the heap grows by hundreds of MB.
+
+    Holds for what is executed within it, not for frames executed later; the session's own setting comes back.
+    """
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def heavy_join(rows: DataFrame, found: DataFrame, on: list[str], count: str = "c", how: str = "inner", share: int = 4) -> DataFrame:
     """``rows`` joined with ``found``, a table of one row per key that counts the rows of its key.
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialize, whole_text, wide
+from .common import bounded_batches, materialize, small_reads, whole_text, wide
 
 #: Split pattern that the library's byte-level pre-tokenizer stands for (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -108,6 +108,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id:
 
 #: Groups of equal cardinality that large lengths are rounded up in. Large are those over a third of the capacity, so a pattern has two at most.
 GROUPS = 64
+#: Rows that a task places and writes, where there are enough for every core.
+ROWS = 100_000
 
 
 def configurations(sizes: list[int], counts: list[int], capacity: int, steps: int = 20_000) -> list[tuple[list[int], float]]:
@@ -262,13 +264,17 @@ def pack(pieces: DataFrame, capacity: int = 1024, groups: int = GROUPS, small: i
 
     A piece of full length is a sequence, of a negative number. For the others the driver sees one count per length, ``capacity`` numbers at most, and sends
     back a plan whose size has the same bound. They find their place by their rank among those of the same length; the ranks
-    are dealt over ``salts`` parts of each length, so a length that very many documents have is no hot spot.
+    are dealt over ``salts`` parts of each length, so a length that very many documents have is no hot spot. Places are given and written by as
+    many tasks as the rows need: each file costs a task's start and processes of its own, however many the shuffle partitions.
     """
     spark = pieces.sparkSession
     salts = salts or max(64, wide(spark))
+    counts = {r[0]: r[1] for r in pieces.groupBy(F.least("length", F.lit(capacity)).alias("length")).count().collect()}
+    weight = sum(n * (1 + s // 8) for s, n in counts.items()) if "ids" in pieces.columns else sum(counts.values())  # eight ids weigh as much as a row
+    tasks = max(spark.sparkContext.defaultParallelism, -(-weight // ROWS))
+    counts.pop(capacity, None)
     whole = pieces.where(F.col("length") >= capacity).select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     pieces = pieces.where(F.col("length") < capacity)
-    counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}
     plan = Plan(counts, capacity, groups, small)
     table = np.array(sorted(plan.rows), np.int64).reshape(-1, 5)
     salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)).cast("int"))
@@ -290,7 +296,7 @@ def pack(pieces: DataFrame, capacity: int = 1024, groups: int = GROUPS, small: i
             sequence, offset = table[k, 3] + rank - table[k, 1], table[k, 4]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(sequence), pa.array(offset)], names=[*b.schema.names[:-1], "sequence_id", "offset"])
 
-    return whole.unionByName(ranked.mapInArrow(place, f"{kinds}, sequence_id long, offset long"))
+    return whole.coalesce(tasks).unionByName(ranked.coalesce(tasks).mapInArrow(place, f"{kinds}, sequence_id long, offset long"))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, groups: int = GROUPS) -> DataFrame:
@@ -302,5 +308,6 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id
     Null and empty texts are the end id alone. Null doc_ids and repeated rows are packed as often as they come; no
     rows give no rows; a text of any length is cut, never dropped; other columns are ignored.
     """
-    pieces = materialize(token_pieces(docs, tokenizer, capacity, end_id, id_col, text_col, keep_ids), "pieces")
+    with small_reads(docs.sparkSession):
+        pieces = materialize(token_pieces(docs, tokenizer, capacity, end_id, id_col, text_col, keep_ids), "pieces")
     return pack(pieces, capacity, groups)

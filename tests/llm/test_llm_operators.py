@@ -647,6 +647,31 @@ def test_packing(docs, none):
     assert packing.pack_documents(none, path).count() == 0
 
 
+def test_packing_deals_tasks_by_rows(spark, docs, monkeypatch):
+    path, batch, seen = public_tokenizers.path("byte_bpe_50k.json"), "spark.sql.parquet.columnarReaderBatchSize", []
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before, read, cores = {k: spark.conf.get(k) for k in conf}, spark.conf.get(batch), spark.sparkContext.defaultParallelism
+    rows = lambda d: sorted(d.select(F.col("doc_id").cast("string"), "piece", "start", "length", "ids_crc32").collect(), key=str)
+    own = packing.materialize
+    monkeypatch.setattr(packing, "materialize", lambda *a: (seen.append(int(spark.conf.get(batch))), own(*a))[1])
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = packing.pack_documents(docs, path, capacity=64)
+        assert got.rdd.getNumPartitions() <= 2 * cores  # however many the shuffle partitions
+        assert seen == [512] and spark.conf.get(batch) == read
+        want = rows(packing.token_pieces(docs, path, 64))
+        assert rows(got) == want
+        monkeypatch.setattr(packing, "ROWS", len(want) // (3 * cores))
+        more = packing.pack_documents(docs, path, capacity=64)
+        assert more.rdd.getNumPartitions() > 2 * cores and rows(more) == want
+        placed = lambda d: sorted(map(tuple, d.where("length < 64").select("doc_id", "piece", "length", "ids_crc32", "sequence_id", "offset").collect()), key=str)
+        assert placed(more) == placed(got)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_ids_are_those_of_the_library():
     path = public_tokenizers.path("byte_bpe_50k.json")
     from tokenizers import Tokenizer
