@@ -15,9 +15,13 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialize, scratch
+from .common import bounded_batches, scratch, small_reads, wide
 
 CHUNK = 64 << 10
+#: Repeated payloads, told by their digests, that a partition may hold in a hash table.
+KEYS = 200_000
+#: Bytes of archives that a task reads, where there are enough for every core.
+READ = 16 << 20
 MEMBER_DATE = "2000-01-01T00:00:00Z"
 RECORD = "urn:x-page:"
 CHUNKS = "archive string, record_id string, record_type string, target_uri string, refers_to string, payload_digest string, payload_bytes long, chunk_no long, chunk binary, bytes_so_far long, digest_so_far string, last boolean"
@@ -27,14 +31,16 @@ def chunk_table(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """Rows (record_id, url, refers_to, sha1, n_bytes, chunk_no, chunk), the chunks of a record one after another.
 
     refers_to is set on every row but the smallest id of those with equal payloads of at least ``least`` bytes.
-    Equal payloads are told by length, SHA-1 and SHA-256 together.
+    Equal payloads are told by length, SHA-1 and SHA-256 together. Payloads are streamed past a hash table of the repeated ones, never sorted,
+    unless there are so many rows that a partition's table might pass ``KEYS``.
     """
     payload = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
     p = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
     p = p.select("*", F.octet_length("payload").cast("long").alias("n_bytes"), F.sha1("payload").alias("sha1"), F.sha2("payload", 256).alias("sha2"))
     same = ["n_bytes", "sha1", "sha2"]
     again = p.where(F.col("n_bytes") >= least).groupBy(*same).agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    p = p.join(again, same, "left")
+    few = pages.count() <= 2 * KEYS * wide(pages.sparkSession)  # a repeated payload has two rows at least
+    p = p.join(again.hint("shuffle_hash" if few else "merge"), same, "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     last = F.when(revisit, F.lit(0)).otherwise(F.greatest(F.lit(0), F.ceil(F.col("n_bytes") / chunk).cast("int") - 1))
     part = F.when(revisit, F.lit(b"")).otherwise(F.col("payload"))
@@ -93,6 +99,8 @@ def write_archives(chunks: DataFrame, folder: str, roll: int = 256 << 20) -> Dat
 
     A task writes files of its own name and reports them only when it ends well, so what a lost executor
     or a second attempt leaves behind is never listed and never read. A record is written chunk by chunk.
+    The list, a few rows per task, is held by the driver as Spark holds what its own writers commit: so no task starts the processes
+    that a table's file costs.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,8 +132,11 @@ def write_archives(chunks: DataFrame, folder: str, roll: int = 256 << 20) -> Dat
             done.append(archive)
         yield pa.RecordBatch.from_arrays([pa.array([a.path for a in done], pa.string()), pa.array([a.records for a in done], pa.int64()), pa.array([a.bytes for a in done], pa.int64())], names=["path", "records", "bytes"])
 
-    bounded_batches(chunks.sparkSession)
-    return materialize(chunks.mapInArrow(run, "path string, records long, bytes long"), "warc-archives")
+    spark, kinds = chunks.sparkSession, "path string, records long, bytes long"
+    bounded_batches(spark)
+    with small_reads(spark):
+        done = chunks.mapInArrow(run, kinds).toArrow()
+    return spark.createDataFrame(done, kinds)
 
 
 class _Stream:
@@ -223,7 +234,9 @@ def read_archives(archives: DataFrame, chunk: int = CHUNK, contents: bool = True
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     spark = archives.sparkSession
-    n = max(1, min(archives.count(), 4 * spark.sparkContext.defaultParallelism))
+    cores = spark.sparkContext.defaultParallelism
+    count, size = archives.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    n = max(1, min(count, 4 * cores, max(cores, -(-size // READ))))
     return archives.select("path").repartition(n).mapInArrow(run, CHUNKS)
 
 

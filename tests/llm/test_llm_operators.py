@@ -13,6 +13,7 @@ import pytest
 from gleanery.llm import chunks, decontaminate, exact_dedup, golay, line_dedup, near_copies, packing, preference, quality, queries, simhash, suffix, warc
 from gleanery.llm.common import heavy_join
 from gleanery.llm.components import components
+from gleanery.plans import tables
 from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, text string, fp long, gid long, row string, lines string, first string"
@@ -433,6 +434,38 @@ def test_warc_long_payloads(spark):
     assert longest == warc.CHUNK
 
 
+def test_warc_streams_payloads_and_lists_archives_without_files(spark, tmp_path, monkeypatch):
+    batch, seen, cores = "spark.sql.parquet.columnarReaderBatchSize", [], spark.sparkContext.defaultParallelism
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before, read = {k: spark.conf.get(k) for k in conf}, spark.conf.get(batch)
+    rows = [(i, f"u{i}", None if i % 50 == 0 else f"page {i % 150} " * 40) for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    first = {h or "": i for i, _, h in reversed(rows)}
+    want = sorted((str(i), None if first[h or ""] == i else str(first[h or ""]), len(h or "")) for i, _, h in rows)
+    of = lambda d: sorted((r.record_id, r.refers_to, r.payload_bytes) for r in d.where("last").collect())
+    plan = lambda: warc.chunk_table(pages)._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(tables, "shared_dir", lambda s: f"file://{tmp_path}")
+    own = type(pages).toArrow
+    monkeypatch.setattr(type(pages), "toArrow", lambda d: (seen.append(int(spark.conf.get(batch))), own(d))[1])
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert "SortMergeJoin" not in plan() and "Sort [" not in plan()
+        got = warc.round_trip(pages)
+        files = [f for f in tmp_path.rglob("*") if f.is_file()]
+        assert len(files) > cores and all(f.name.endswith(".warc.gz") for f in files)
+        assert seen == [512] and spark.conf.get(batch) == read
+        assert got.rdd.getNumPartitions() <= cores and of(got) == want  # however many the shuffle partitions
+        monkeypatch.setattr(warc, "READ", 1)
+        assert warc.round_trip(pages).rdd.getNumPartitions() > cores
+        monkeypatch.setattr(warc, "KEYS", 2)  # 400 rows might be 200 repeated payloads, 64 partitions of 2 hold 128
+        assert "SortMergeJoin" in plan() and "ShuffledHashJoin" not in plan()
+        assert of(warc.round_trip(pages)) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_quality(spark):
     rnd = random.Random(6)
     rows, labels = [], []
